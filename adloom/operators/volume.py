@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,25 +48,33 @@ def day_counts(rows: DataFrame, as_of: Day = None) -> DataFrame:
 _COUNTS = "table_name string, today_count bigint, yesterday_count bigint, error string"
 
 
-def counts_by_table(spark: SparkSession, tables: Tables, as_of: Day = None) -> DataFrame:
-    """One row per table. A table that cannot be resolved yields its error instead.
+def counts_by_table(
+    spark: SparkSession, tables: Tables, as_of: Day = None, isolate: bool = False
+) -> DataFrame:
+    """One row per table; a table that cannot be resolved yields its error instead.
 
-    Give a table as a function where reading it may fail; the other tables are
-    counted regardless.
+    Give a table as a function where looking it up may fail. All tables are
+    counted in one job; with ``isolate`` each is counted by itself, so that files
+    that turn out unreadable become an error of their table as well.
     """
 
+    def failed(name: str, error: Exception) -> DataFrame:
+        return spark.createDataFrame([(name, None, None, str(error))], _COUNTS)
+
     def counted(name: str) -> DataFrame:
         try:
             frame = tables[name]
-            counts = day_counts(frame() if callable(frame) else frame, as_of)
-        except PySparkException as error:
-            return spark.createDataFrame([(name, None, None, str(error))], _COUNTS)
-        return counts.select(
-            F.lit(name).alias("table_name"),
-            "today_count",
-            "yesterday_count",
-            F.lit(None).cast("string").alias("error"),
-        )
+            counts = day_counts(frame() if callable(frame) else frame, as_of).select(
+                F.lit(name).alias("table_name"),
+                "today_count",
+                "yesterday_count",
+                F.lit(None).cast("string").alias("error"),
+            )
+            if isolate:
+                return spark.createDataFrame(counts.collect(), _COUNTS)
+            return counts
+        except (PySparkException, Py4JError) as error:
+            return failed(name, error)
 
     return reduce(DataFrame.unionByName, (counted(name) for name in tables))
 
@@ -142,9 +151,10 @@ def volume_checks(
     tables: Tables,
     as_of: Day = None,
     thresholds: DataFrame | None = None,
+    isolate: bool = False,
 ) -> DataFrame:
     limits = default_thresholds(spark) if thresholds is None else thresholds
-    return evaluate(counts_by_table(spark, tables, as_of), limits)
+    return evaluate(counts_by_table(spark, tables, as_of, isolate), limits)
 
 
 def summarize(checks: DataFrame) -> DataFrame:

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adloom import schemas as S
 from adloom.operators.latest import latest_raw
@@ -39,6 +41,18 @@ def _laid_out(rows: DataFrame, layout: Sequence[str]) -> DataFrame:
     return rows.hint("rebalance", *(F.col(c) for c in layout))
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """An insertion takes its overwrite mode from the session only."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def append_raw(rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT) -> int:
     """Append a batch, creating the table if absent; returns the rows written.
 
@@ -82,11 +96,8 @@ def replace_partitions(
         )
     elif spark.catalog.tableExists(target):
         # Insertion goes by position: take the stored column order.
-        (
-            counted.select(*spark.table(target).columns)
-            .write.option("partitionOverwriteMode", "dynamic")
-            .insertInto(target, overwrite=True)
-        )
+        with _dynamic_overwrite(spark):
+            counted.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
     else:
         counted.write.format("parquet").partitionBy(*layout).saveAsTable(target)
     return seen.get["rows"]
@@ -97,18 +108,27 @@ def days_with_repeats(raw: DataFrame) -> DataFrame:
     return duplicate_grain(raw, S.RAW_KEY).select("date").distinct()
 
 
-def dedup_days(spark: SparkSession, target: str, copy: str | None = None) -> int:
+def dedup_days(
+    spark: SparkSession,
+    target: str,
+    copy: str | None = None,
+    schema: T.StructType | None = None,
+    among: Column | None = None,
+) -> int:
     """Rewrite a raw table to one row per key, the newest; returns the rows now held.
 
     Only days that hold repeated keys are rewritten, so a second call finds
     nothing to do and a daily one touches the days that were extracted again.
+    Where those are known, a condition on ``date`` as ``among`` keeps the search
+    for repeats from scanning the others.
     The kept rows are first written to ``copy`` (by default in the shared
     folder) and replace the stored days from there: until that copy is complete
     the table is unchanged, and if the replacement is interrupted
     ``replace_partitions(scan(spark, copy), target)`` completes it.
     """
-    stored = scan(spark, target)
-    days = [row["date"] for row in days_with_repeats(stored).collect()]
+    stored = scan(spark, target, schema)
+    searched = stored if among is None else stored.where(among)
+    days = [row["date"] for row in days_with_repeats(searched).collect()]
     if days:
         repeated = F.col("date").isin(*(d for d in days if d is not None))
         if None in days:
@@ -117,8 +137,8 @@ def dedup_days(spark: SparkSession, target: str, copy: str | None = None) -> int
         folder = copy or shared_folder(spark, "dedup")
         logger.info("rewriting %d days of %s by way of %s", len(days), target, folder)
         _laid_out(kept, RAW_LAYOUT).write.partitionBy(*RAW_LAYOUT).parquet(folder)
-        replace_partitions(scan(spark, folder), target, rebalance=False)
-    return scan(spark, target).count()
+        replace_partitions(scan(spark, folder, stored.schema), target, rebalance=False)
+    return scan(spark, target, schema).count()
 
 
 def recover_table(spark: SparkSession, table: str) -> None:

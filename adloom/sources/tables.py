@@ -11,9 +11,16 @@ def is_path(target: str) -> bool:
     return "/" in target
 
 
-def scan(spark: SparkSession, target: str) -> DataFrame:
-    """A catalog table by name, or Parquet files by path."""
-    return spark.read.parquet(target) if is_path(target) else spark.table(target)
+def scan(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """A catalog table by name, or Parquet files by path.
+
+    Give the schema of files to keep the types of their folder columns from
+    being derived from the folder names.
+    """
+    if not is_path(target):
+        return spark.table(target)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(target)
 
 
 def scan_as(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:

@@ -1,0 +1,140 @@
+import datetime as dt
+
+import pytest
+
+from adloom import schemas as S
+from adloom.operators import volume
+from conftest import values
+
+AS_OF = "2024-01-30"
+
+
+def rows(frame, today, yesterday):
+    stamps = [dt.datetime(2024, 1, 30, 3)] * today + [dt.datetime(2024, 1, 29, 23)] * yesterday
+    return frame([(s, S.GOOGLE) for s in stamps], "ingested_at timestamp, source string")
+
+
+def limits(frame, low=5, high=100, change=50, *names):
+    return frame([(n, low, high, change, "d") for n in names or ("t",)], S.THRESHOLDS)
+
+
+def check(spark, frame, today, yesterday, **bounds):
+    got = volume.volume_checks(
+        spark, {"t": rows(frame, today, yesterday)}, AS_OF, limits(frame, **bounds)
+    )
+    return got.first()
+
+
+def test_within_limits(spark, frame):
+    row = check(spark, frame, 10, 8)
+    assert (row["today_count"], row["yesterday_count"], row["variance_percent"]) == (10, 8, 25.0)
+    assert row["status"] == row["max_severity"] == "PASS"
+    assert row["issues"] == [] and row["warnings"] == [] and row["errors"] == []
+
+
+def test_below_minimum(spark, frame):
+    row = check(spark, frame, 3, 3)
+    assert row["status"] == "FAIL"
+    assert row["issues"] == ["Record count (3) below minimum threshold (5)"]
+    assert row["errors"] == ["t: Below minimum threshold (3/5)"]
+
+
+def test_above_maximum(spark, frame):
+    row = check(spark, frame, 11, 10, high=10)
+    assert row["status"] == "FAIL"
+    assert row["issues"] == ["Record count (11) exceeds maximum threshold (10)"]
+    assert row["errors"] == ["t: Exceeds maximum threshold (11/10)"]
+
+
+def test_variance_warns_and_overrides_a_failure(spark, frame):
+    row = check(spark, frame, 2, 16)
+    assert row["status"] == "WARN" and row["max_severity"] == "FAIL"
+    assert row["issues"] == [
+        "Record count (2) below minimum threshold (5)",
+        "Day-over-day variance (87.5%) exceeds threshold (50%)",
+    ]
+    assert row["warnings"] == ["t: High variance (87.5%, yesterday: 16)"]
+
+
+def test_variance_is_compared_unrounded(spark, frame):
+    assert check(spark, frame, 15, 10)["status"] == "PASS"
+    assert check(spark, frame, 16, 10)["status"] == "WARN"
+
+
+def test_no_rows_yesterday_is_no_variance(spark, frame):
+    row = check(spark, frame, 10, 0)
+    assert row["variance_percent"] == 0.0 and row["status"] == "PASS"
+
+
+def test_a_listed_table_without_counts_has_zero_rows(spark, frame):
+    counts = volume.counts_by_table(spark, {"t": rows(frame, 6, 6)}, AS_OF)
+    got = volume.evaluate(counts, limits(frame, 5, 100, 50, "t", "u"))
+    assert values(got, "table_name", "today_count", "status") == [("t", 6, "PASS"), ("u", 0, "FAIL")]
+
+
+@pytest.mark.parametrize("isolate", [False, True])
+def test_an_unreadable_table_does_not_stop_the_others(spark, frame, isolate):
+    tables = {"t": rows(frame, 6, 6), "u": lambda: spark.table("no_such_table")}
+    got = volume.volume_checks(spark, tables, AS_OF, limits(frame, 5, 100, 50, "t", "u"), isolate)
+    bad = got.where("table_name = 'u'").first()
+    assert bad["status"] == bad["max_severity"] == "ERROR" and "no_such_table" in bad["error"]
+    assert bad["today_count"] is None and bad["issues"] == []
+    assert bad["errors"][0].startswith("u: ")
+    assert got.where("table_name = 't'").first()["status"] == "PASS"
+    summary = volume.summarize(got).first()
+    assert (summary["errored"], summary["overall_status"]) == (1, "FAIL")
+
+
+def test_files_that_cannot_be_read_are_an_error_of_their_table(spark, frame, tmp_path):
+    frame([(dt.datetime(2024, 1, 30),)], "ingested_at timestamp").write.parquet(str(tmp_path / "t"))
+    for part in (tmp_path / "t").glob("part-*.parquet"):
+        part.write_bytes(b"PAR1 not parquet PAR1")
+    for crc in (tmp_path / "t").glob(".*.crc"):
+        crc.write_bytes(b"")
+    broken = spark.read.schema("ingested_at timestamp").parquet(str(tmp_path / "t"))
+    got = volume.volume_checks(
+        spark, {"t": rows(frame, 6, 6), "u": broken}, AS_OF,
+        limits(frame, 5, 100, 50, "t", "u"), isolate=True,
+    )
+    assert values(got, "table_name", "status") == [("t", "PASS"), ("u", "ERROR")]
+
+
+def test_summary_passes_with_warnings(frame):
+    ddl = "status string"
+    assert tuple(volume.summarize(frame([("PASS",), ("WARN",)], ddl)).first()) == (2, 1, 1, 0, 0, "PASS")
+    assert volume.summarize(frame([("FAIL",)], ddl)).first()["overall_status"] == "FAIL"
+
+
+def test_default_thresholds(spark):
+    got = volume.default_thresholds(spark, {"marts": "m", "staging": "s", "raw": "r"})
+    assert got.count() == 5
+    assert tuple(got.where("table_name = 'm.mart_campaign_daily'").first())[1:4] == (10, 100000, 50)
+
+
+def test_report(spark, frame):
+    got = volume.report(volume.volume_checks(
+        spark, {"t": rows(frame, 2, 16)}, AS_OF, limits(frame)))
+    assert values(got, "section", "status", "result") == [
+        ("error", None, "t: Below minimum threshold (2/5)"),
+        ("summary", "PASS", "0 PASS, 1 WARN, 0 FAIL, 0 ERROR"),
+        ("table", "WARN", "Today: 2 | Yesterday: 16 | Variance: 87.5%"),
+        ("warning", None, "t: High variance (87.5%, yesterday: 16)"),
+    ]
+
+
+def test_day_counts_use_one_pruned_scan(spark, frame, folder):
+    path = folder("counts")
+    rows(frame, 3, 2).write.parquet(path)
+    got = volume.day_counts(spark.read.parquet(path), AS_OF)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "GreaterThanOrEqual(ingested_at" in plan
+    assert tuple(got.first()) == (3, 2)
+
+
+def test_history_is_dense(frame):
+    got = volume.volume_history(rows(frame, 3, 2), "2024-01-28", AS_OF)
+    assert [tuple(r)[1:] for r in got.orderBy("day").collect()] == [
+        (dt.date(2024, 1, 28), 0, None, 0.0),
+        (dt.date(2024, 1, 29), 2, 0, 0.0),
+        (dt.date(2024, 1, 30), 3, 2, 50.0),
+    ]
