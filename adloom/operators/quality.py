@@ -149,31 +149,41 @@ def row_checks(table: str) -> list[RowCheck]:
     return checks
 
 
+def grain_check(rows: DataFrame) -> DataFrame:
+    """(check_name, violations) of the uniqueness check."""
+    return duplicate_grain(rows).agg(
+        F.lit("unique_combination_grain").alias("check_name"),
+        F.count(F.lit(1)).alias("violations"),
+    )
+
+
 def check_table(table: str, rows: DataFrame) -> DataFrame:
     """All declared checks of one table: (table_name, check_name, violations)."""
     counts = count_violations(rows, row_checks(table))
     if table in UNIQUE_GRAIN:
-        duplicates = duplicate_grain(rows).agg(
-            F.lit("unique_combination_grain").alias("check_name"),
-            F.count(F.lit(1)).alias("violations"),
-        )
-        counts = counts.unionByName(duplicates)
+        counts = counts.unionByName(grain_check(rows))
     return counts.select(F.lit(table).alias("table_name"), "check_name", "violations")
 
 
+def suite_result(counts: DataFrame) -> DataFrame:
+    """Status of each counted check, and how many rows its report would list."""
+    capped = F.col("check_name").isin(*MART_TESTS)
+    return with_status(counts).withColumn(
+        "reported_rows",
+        F.when(
+            capped, F.least("violations", F.lit(S.VIOLATION_REPORT_ROWS).cast("bigint"))
+        ).otherwise(F.col("violations")),
+    )
+
+
 def run_suite(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared check of the given tables, one row each.
 
     ``violations`` counts them all; ``reported_rows`` is how many the row report
     of the four mart tests would list.
     """
-    results = reduce(DataFrame.unionByName, (check_table(t, df) for t, df in tables.items()))
-    capped = F.col("check_name").isin(*MART_TESTS)
-    return with_status(results).withColumn(
-        "reported_rows",
-        F.when(
-            capped, F.least("violations", F.lit(S.VIOLATION_REPORT_ROWS).cast("bigint"))
-        ).otherwise(F.col("violations")),
+    return suite_result(
+        reduce(DataFrame.unionByName, (check_table(t, df) for t, df in tables.items()))
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adloom import schemas as S
 from adloom.functions.days import Day, as_day
-from adloom.operators import catalog, quality, runlog, volume
+from adloom.operators import catalog, runlog, volume
 from adloom.operators.metadata import new_run_id, stamp
 from adloom.operators.writes import (
     append_raw,
@@ -20,6 +20,7 @@ from adloom.operators.writes import (
     refresh_mart,
     write_mart,
 )
+from adloom.plans import suite
 from adloom.plans.mart import build_mart
 from adloom.plans.staging import stage_google, stage_meta
 from adloom.plans.unified import unify
@@ -113,7 +114,11 @@ def run_daily(
         write_mart(build_mart(union, ingested_at), layers.mart)
 
     frames = model_frames(spark, layers)
-    tests = small(quality.run_suite(frames))
+    tests = small(
+        suite.run_model_suite(
+            frames[S.RAW_GOOGLE_TABLE], frames[S.RAW_META_TABLE], frames[S.MART_TABLE]
+        )
+    )
     watched = {t: f for t, f in frames.items() if t != S.UNIFIED_TABLE}
     volumes = small(volume.volume_checks(spark, watched, as_of, isolate=True))
     summary = runlog.run_summary(

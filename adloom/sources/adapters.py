@@ -2,7 +2,7 @@
 
 ``lineitem`` plays the Google side and ``events`` the Meta side, in the shape of
 an append-only raw zone: up to three extraction runs per campaign-day. Money is
-added as decimals so that the values do not depend on row order.
+added exactly, so that the values do not depend on row order.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom import schemas as S
+from adloom.functions.aggregates import exact_sum, exact_total
 
 FIRST_DAY = "2024-01-01"
 LAST_DAY = "2024-01-30"
@@ -39,7 +40,7 @@ def _metadata(source: str) -> list[Column]:
 
 def raw_google(spark: SparkSession, folder: str) -> DataFrame:
     offset = F.pmod(F.date_diff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")), F.lit(DAYS))
-    cost = F.sum(F.col("l_quantity").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(4,2)"))
+    cost = exact_total(F.col("l_quantity") * F.col("l_tax"))
     return (
         _table(spark, folder, "lineitem")
         .groupBy(
@@ -77,7 +78,7 @@ def raw_meta(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             (_tally("view") * 20).alias("impressions"),
             _tally("click").alias("clicks"),
-            F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("spend_usd"),
+            exact_sum("value").alias("spend_usd"),
             _tally("signup").alias("likes"),
             _tally("error").alias("comments"),
             _tally("purchase").alias("shares"),
@@ -131,7 +132,7 @@ def meta_insights(spark: SparkSession, folder: str) -> DataFrame:
             _tally("signup").alias("signups"),
             _tally("error").alias("errors"),
             _tally("purchase").alias("purchases"),
-            F.sum(F.col("value").cast("decimal(18,2)")).alias("spent"),
+            exact_sum("value").alias("spent"),
         )
         .select(
             "date_start",

@@ -64,7 +64,7 @@ def main(folder: str = "/root/testdata/sf0.01", *names: str) -> int:
     spark = build_session(
         "compare",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)

@@ -587,6 +587,7 @@ GROUP BY report_date, campaign_id, platform HAVING count(*) > 1""",
 FROM mart""",
     ),
     "dq_suite": with_(MODELS, suite(suite_counts())),
+    "dq_suite_by_table": with_(MODELS, suite(suite_counts())),
     "dq_tally": with_(f"{MODELS},{TALLY}", "SELECT * FROM tally"),
     # volume
     "ingestion_day_counts": with_(

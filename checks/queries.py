@@ -19,7 +19,7 @@ from adloom.operators.latest import (
     late_window,
     restate,
 )
-from adloom.plans import analysis, daily, mart, staging, unified
+from adloom.plans import analysis, daily, mart, staging, suite, unified
 from adloom.session import configure, shared_folder
 from adloom.sources import adapters
 from adloom.sources.insights import flatten_insights
@@ -314,6 +314,11 @@ def dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
+    google, meta = latest(spark, sf)
+    return suite.run_model_suite(google, meta, mart.mart_from_raw(google, meta, CREATED_AT))
+
+
+def dq_suite_by_table(spark: SparkSession, sf: str) -> DataFrame:
     return quality.run_suite(model(spark, sf))
 
 
@@ -352,7 +357,7 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return runlog.run_summary(
         spark,
         _run((google.count(), meta.count())),
-        quality.run_suite(model(spark, sf)),
+        dq_suite(spark, sf),
         volume_result(spark, sf),
         "2024-01-30T05:02:03.600+00:00",
     )
@@ -460,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "dq_accepted_range": over_mart(quality.accepted_range),
     "dq_recency": over_mart(lambda m: quality.recency(m, AS_OF)),
     "dq_suite": dq_suite,
+    "dq_suite_by_table": dq_suite_by_table,
     "dq_tally": lambda spark, sf: quality.tally(dq_suite(spark, sf)),
     # volume
     "ingestion_day_counts": ingestion_day_counts,

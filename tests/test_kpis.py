@@ -1,7 +1,9 @@
+from decimal import Decimal
+
 import pytest
 
 from adloom.functions import kpis
-from adloom.functions.aggregates import exact_avg, exact_sum
+from adloom.functions.aggregates import exact_avg, exact_sum, exact_total
 from pyspark.sql import functions as F
 
 METRICS = "impressions long, clicks long, conversions long, spend double"
@@ -71,3 +73,14 @@ def test_exact_average_skips_nulls(frame):
     df = frame([(1.0,), (None,), (2.0,)], "x double")
     assert df.agg(exact_avg("x")).first()[0] == 1.5
     assert df.where("x > 5").agg(exact_avg("x")).first()[0] is None
+
+
+@pytest.mark.parametrize("values", [[0.1] * 10, [-0.25, 0.1], [1e9 + 0.35, 0.65], [4.35, 2.01, 0.29]])
+def test_exact_total_is_the_decimal_sum(frame, values):
+    df = frame([(v,) for v in values], "x double")
+    assert df.agg(exact_total(F.col("x"))).first()[0] == sum(Decimal(str(v)) for v in values)
+
+
+def test_values_that_are_not_numbers_stop_the_query(frame):
+    with pytest.raises(Exception, match="OVERFLOW"):
+        frame([(float("nan"),), (1.0,)], "x double").agg(exact_sum("x")).collect()

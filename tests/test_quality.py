@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from adloom import schemas as S
 from adloom.operators import quality
-from adloom.plans import mart, staging, unified
+from adloom.plans import mart, staging, suite, unified
 from conftest import values
 
 DAY = dt.date(2024, 1, 5)
@@ -67,8 +67,8 @@ def test_unknown_platform_is_a_violation_but_null_is_not(frame):
 def test_repeated_grain(frame):
     union = unified_rows(frame, {"campaign_id": "x"}, {"campaign_id": "x"}, {"campaign_id": "y"})
     assert values(quality.duplicate_grain(union)) == [(DAY, "x", S.GOOGLE, 2)]
-    suite = quality.run_suite({S.UNIFIED_TABLE: union})
-    assert result(suite, "unique_combination_grain") == (1, "FAIL")
+    results = quality.run_suite({S.UNIFIED_TABLE: union})
+    assert result(results, "unique_combination_grain") == (1, "FAIL")
 
 
 def test_missing_keys_in_raw(frame):
@@ -118,8 +118,8 @@ def test_suite_counts_all_violations_and_caps_the_report(spark):
         F.lit(NOW).alias("ingested_at"), F.lit("a").alias("extract_run_id"),
         F.lit(S.GOOGLE).alias("source"), F.lit(S.GOOGLE).alias("platform"),
     )
-    suite = quality.run_suite({S.MART_TABLE: mart.build_mart(many, "2024-02-01T00:00:00Z")})
-    row = suite.where("check_name = 'clicks_not_exceeding_impressions'").first()
+    results = quality.run_suite({S.MART_TABLE: mart.build_mart(many, "2024-02-01T00:00:00Z")})
+    row = results.where("check_name = 'clicks_not_exceeding_impressions'").first()
     assert (row["violations"], row["reported_rows"]) == (1500, 1000)
 
 
@@ -166,3 +166,30 @@ def test_suite_over_all_tables_is_clean_for_clean_data(frame):
         S.MART_TABLE: mart.build_mart(union, "2024-02-01T00:00:00Z"),
     })
     assert tuple(quality.tally(got).first()) == (36, 36, 0, 0)
+
+
+def test_the_model_suite_equals_the_suite_by_table(frame):
+    g = frame(
+        [(DAY, "g", "G", 100, 10, 5.0, NOW, "a", S.GOOGLE, None),
+         (DAY, "g", "G", None, 10, None, NOW, "a", S.GOOGLE, 2),
+         (None, "g", "G", None, 10, None, NOW, "a", S.GOOGLE, 2),
+         (DAY, None, "G", 1, 10, 1.0, NOW, "a", S.GOOGLE, 2)],
+        "date date, campaign_id string, campaign_name string, impressions long, clicks long,"
+        " cost_usd double, ingested_at timestamp, extract_run_id string, source string,"
+        " conversions long")
+    m = frame(
+        [(DAY, 1, "M", 100, None, None, NOW, "a", S.META, 1, 1, 1), (None, None, "M", 1, 2, -3.0, NOW, "a", S.META, 1, 1, 1)],
+        "date date, campaign_id long, campaign_name string, impressions long, clicks long,"
+        " spend_usd double, ingested_at timestamp, extract_run_id string, source string,"
+        " likes long, comments long, shares long")
+    stg_g, stg_m = staging.stage_google(g), staging.stage_meta(m)
+    union = unified.unify(stg_g, stg_m)
+    built = mart.build_mart(union, "2024-02-01T00:00:00Z")
+    by_table = quality.run_suite({
+        S.RAW_GOOGLE_TABLE: g, S.RAW_META_TABLE: m, S.STG_GOOGLE_TABLE: stg_g,
+        S.STG_META_TABLE: stg_m, S.UNIFIED_TABLE: union, S.MART_TABLE: built,
+    })
+    fused = suite.run_model_suite(g, m, built)
+    columns = ("table_name", "check_name", "violations", "status", "reported_rows")
+    assert values(fused, *columns) == values(by_table, *columns)
+    assert fused.where("status = 'FAIL'").count() > 10
