@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom import schemas as S
-from adloom.functions.days import as_day, as_instant, elapsed_seconds
+from adloom.functions.days import Day, as_day, as_instant, elapsed_seconds
 from adloom.operators.quality import tally
 from adloom.operators.volume import summarize
 
@@ -31,7 +31,7 @@ class SourceResult:
 class Run:
     run_id: str
     dag_id: str
-    run_date: str
+    run_date: Day
     execution_date: dt.datetime | str
     status: str
     google_ads: SourceResult = SourceResult()
@@ -104,11 +104,11 @@ def run_summary(
         "created_at": end,
         "updated_at": end,
     }
-    # Two single rows side by side, matched on a constant.
-    one = F.lit(1).alias("_row")
-    tests = _test_fields(spark, test_results).select("*", one)
-    volumes = _volume_fields(spark, volume_results).select("*", one)
-    rolled_up = tests.join(volumes, "_row")
+    # Each roll-up is one row with columns of its own: stacked and folded to one.
+    tests = _test_fields(spark, test_results)
+    volumes = _volume_fields(spark, volume_results)
+    stacked = tests.unionByName(volumes, allowMissingColumns=True)
+    rolled_up = stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
     return rolled_up.select(
         *(
             (fields[f.name] if f.name in fields else F.col(f.name)).cast(f.dataType).alias(f.name)

@@ -89,52 +89,74 @@ def run_daily(
 
     With ``since``, the first day the batches cover, deduplication looks at the
     days from there on and only those days of an existing mart are rebuilt;
-    without it everything is.
+    without it everything is. A run that fails is logged with the step and the
+    error before the error is raised.
     """
     run = run_id or new_run_id()
     start = started_at or dt.datetime.now(dt.timezone.utc)
-    written = {}
-    for source, records, table in (
-        (S.GOOGLE, google, layers.raw_google),
-        (S.META, meta, layers.raw_meta),
-    ):
-        written[source] = append_raw(stamp(records, source, run, ingested_at), table)
-        if spark.catalog.tableExists(table):
-            covered = None if since is None else F.col("date") >= as_day(since)
-            dedup_days(spark, table, among=covered)
-
-    union = unify(
-        stage_google(scan_as(spark, layers.raw_google, S.RAW_GOOGLE)),
-        stage_meta(scan_as(spark, layers.raw_meta, S.RAW_META)),
-    )
-    if since is not None and spark.catalog.tableExists(layers.mart):
-        union = union.where(F.col("report_date") >= as_day(since))
-        refresh_mart(build_mart(union, ingested_at), layers.mart)
-    else:
-        write_mart(build_mart(union, ingested_at), layers.mart)
-
-    frames = model_frames(spark, layers)
-    tests = small(
-        suite.run_model_suite(
-            frames[S.RAW_GOOGLE_TABLE], frames[S.RAW_META_TABLE], frames[S.MART_TABLE]
+    written: dict[str, int] = {}
+    step = "start"
+
+    def log(status: str, tests=None, volumes=None, error: str | None = None) -> None:
+        def extracted(source: str) -> runlog.SourceResult:
+            if source in written:
+                return runlog.SourceResult(written[source], "success")
+            return runlog.SourceResult()
+
+        summary = runlog.run_summary(
+            spark,
+            runlog.Run(
+                run_id=run,
+                dag_id="campaign_daily",
+                run_date=as_of,
+                execution_date=start,
+                status=status,
+                google_ads=extracted(S.GOOGLE),
+                meta_ads=extracted(S.META),
+                error_message=error,
+                error_task=step if error else None,
+            ),
+            tests,
+            volumes,
+            ended_at,
         )
-    )
-    watched = {t: f for t, f in frames.items() if t != S.UNIFIED_TABLE}
-    volumes = small(volume.volume_checks(spark, watched, as_of, isolate=True))
-    summary = runlog.run_summary(
-        spark,
-        runlog.Run(
-            run_id=run,
-            dag_id="campaign_daily",
-            run_date=as_of if isinstance(as_of, str) else str(as_of),
-            execution_date=start,
-            status="success",
-            google_ads=runlog.SourceResult(written[S.GOOGLE], "success"),
-            meta_ads=runlog.SourceResult(written[S.META], "success"),
-        ),
-        tests,
-        volumes,
-        ended_at,
-    )
-    append_run(summary, layers.run_summary)
-    return spark.table(layers.run_summary).where(f"run_id = '{run}'")
+        append_run(summary, layers.run_summary)
+
+    try:
+        for source, records, table in (
+            (S.GOOGLE, google, layers.raw_google),
+            (S.META, meta, layers.raw_meta),
+        ):
+            step = f"ingest_{source}"
+            written[source] = append_raw(stamp(records, source, run, ingested_at), table)
+            step = f"deduplicate_{source}"
+            if spark.catalog.tableExists(table):
+                covered = None if since is None else F.col("date") >= as_day(since)
+                dedup_days(spark, table, among=covered)
+
+        step = "build_mart"
+        union = unify(
+            stage_google(scan_as(spark, layers.raw_google, S.RAW_GOOGLE)),
+            stage_meta(scan_as(spark, layers.raw_meta, S.RAW_META)),
+        )
+        if since is not None and spark.catalog.tableExists(layers.mart):
+            union = union.where(F.col("report_date") >= as_day(since))
+            refresh_mart(build_mart(union, ingested_at), layers.mart)
+        else:
+            write_mart(build_mart(union, ingested_at), layers.mart)
+
+        step = "test_models"
+        frames = model_frames(spark, layers)
+        tests = small(
+            suite.run_model_suite(
+                frames[S.RAW_GOOGLE_TABLE], frames[S.RAW_META_TABLE], frames[S.MART_TABLE]
+            )
+        )
+        step = "check_volumes"
+        watched = {t: f for t, f in frames.items() if t != S.UNIFIED_TABLE}
+        volumes = small(volume.volume_checks(spark, watched, as_of, isolate=True))
+    except Exception as error:
+        log("failed", error=str(error))
+        raise
+    log("success", tests, volumes)
+    return spark.table(layers.run_summary).where(F.col("run_id") == run)

@@ -84,3 +84,9 @@ def test_exact_total_is_the_decimal_sum(frame, values):
 def test_values_that_are_not_numbers_stop_the_query(frame):
     with pytest.raises(Exception, match="OVERFLOW"):
         frame([(float("nan"),), (1.0,)], "x double").agg(exact_sum("x")).collect()
+
+
+def test_decimal_spend_gives_the_same_kpis(frame):
+    df = frame([(1000, 50, 8, Decimal("120.50"))], METRICS.replace("double", "decimal(18,2)"))
+    assert tuple(df.select(*kpis.kpi_columns()).first()) == (0.05, 15.06, 0.0664, 2.41, 0.16)
+    assert df.agg(exact_sum("spend")).first()[0] == 120.5

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adloom import schemas as S
 from adloom.operators import catalog, runlog, writes
 from adloom.operators.latest import restate
-from adloom.plans import daily
+from adloom.plans import analysis, daily, mart
 from adloom.sources.tables import scan, scan_as
 from conftest import values
 
@@ -289,3 +289,45 @@ def test_a_run_over_recent_days_equals_a_full_one(spark, frame, folder):
         marts.append(values(spark.table(layers.mart).drop("mart_created_at")))
         assert spark.table(layers.raw_google).count() == 9
     assert marts[0] == marts[1] and len(marts[0]) == 18
+
+
+def test_a_failed_run_is_logged_with_its_step(spark, frame, folder):
+    names = {layer: f"{n}_{uuid.uuid4().hex[:8]}" for layer, n in catalog.LAYERS.items()}
+    catalog.create_namespaces(spark, names, folder("schemas"))
+    layers = daily.Layers(names)
+    google = frame([(day(1), "g", "G", 100, 10, 2, 5.0)], S.GOOGLE_RECORD)
+    meta = frame([(day(1), "m", "M", 100, 10, None, 5.0, 1, 1, 1, None, None)], S.META_RECORD)
+    unreadable = meta.withColumn("clicks", F.raise_error(F.lit("bad payload")).cast("long"))
+    with pytest.raises(Exception, match="bad payload"):
+        daily.run_daily(spark, google, unreadable, layers, "2024-01-02", "r1", "2024-01-02T00:00:00Z")
+    row = spark.table(layers.run_summary).first()
+    assert (row["status"], row["error_task"]) == ("failed", "ingest_meta_ads")
+    assert "bad payload" in row["error_message"]
+    assert (row["google_ads_extracted_count"], row["meta_ads_status"]) == (1, "unknown")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_queries_over_a_stored_mart_prune_days_and_columns(spark, frame, folder):
+    target = folder("mart")
+    union = frame(
+        [(day(d), f"c{d}", "C", 100, 10, 2, 5.0, None, None, None, None, None,
+          dt.datetime(2024, 1, 31), "a", S.GOOGLE, S.GOOGLE) for d in range(1, 11)], S.UNIFIED)
+    writes.write_mart(mart.build_mart(union, "2024-02-01T00:00:00Z"), target)
+    stored = scan_as(spark, target, S.MART)
+    plan = plan_of(analysis.top_roas(stored, "2024-01-31"))
+    assert "PartitionFilters: [isnotnull(report_date" in plan and "TakeOrderedAndProject" in plan
+    assert "ReadSchema: struct<campaign_name:string,platform:string,spend:double,conversions:bigint,roas:double>" in plan
+    trend = plan_of(analysis.daily_trend(stored, "C", "2024-01-31"))
+    assert "EqualTo(campaign_name,C)" in trend
+    counted = plan_of(analysis.platform_comparison(stored, "2024-01-31"))
+    assert "hashpartitioning(platform#" in counted and counted.count("FileScan") == 1
+
+
+def test_the_late_window_reads_its_days_only(spark, frame, folder):
+    target = folder("raw")
+    writes.append_raw(raw(frame, *((d, "a", 1, 1) for d in range(1, 12))), target)
+    plan = plan_of(restate(scan(spark, target), raw(frame, (9, "a", 2, 2)), "2024-01-10"))
+    assert "PartitionFilters: [isnotnull(date" in plan
