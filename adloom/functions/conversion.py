@@ -16,9 +16,15 @@ def number_or(column: Column, type_name: str, default: int | float, lenient: boo
 
 
 def action_count(actions: Column, action_type: str, lenient: bool = False) -> Column:
-    """Value of the last entry of that type; 0 for none or for a missing list."""
-    matching = F.filter(actions, lambda a: a["action_type"] == action_type)
-    return number_or(F.try_element_at(matching, F.lit(-1))["value"], "bigint", 0, lenient)
+    """Value of the last entry of that type; 0 for none or for a missing list.
+
+    Both fields are taken as arrays, newest entry first, and looked up by
+    position: unlike a lambda over the entries this compiles, and the reversed
+    arrays are shared by all types looked up in one projection.
+    """
+    types, values = F.reverse(actions["action_type"]), F.reverse(actions["value"])
+    position = F.nullif(F.array_position(types, action_type), F.lit(0)).cast("int")
+    return number_or(F.try_element_at(values, position), "bigint", 0, lenient)
 
 
 def present_only(*items: Column) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adloom.functions.rounding import round_half_up
+
 RATIO_DIGITS = 4
 CURRENCY_DIGITS = 2
 
@@ -38,7 +40,7 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 
 def ratio(numerator: str, denominator: str, digits: int) -> Column:
     n, d = F.col(numerator), F.col(denominator)
-    return F.when(d > 0, F.round(safe_divide(n, d), digits))
+    return F.when(d > 0, round_half_up(safe_divide(n, d), digits))
 
 
 def kpi(name: str) -> Column:

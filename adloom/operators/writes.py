@@ -27,6 +27,7 @@ logger = logging.getLogger(__name__)
 
 RAW_LAYOUT = ("date",)
 MART_LAYOUT = ("report_date",)
+MART_CLUSTER = ("platform", "campaign_id")
 # One folder per day and run: a repeated run replaces exactly its own rows.
 RUN_LAYOUT = ("date", "extract_run_id")
 
@@ -41,6 +42,21 @@ def _laid_out(rows: DataFrame, layout: Sequence[str]) -> DataFrame:
     return rows.hint("rebalance", *(F.col(c) for c in layout))
 
 
+def _prepared(
+    rows: DataFrame, layout: Sequence[str], cluster_by: Sequence[str], rebalance: bool = True
+) -> tuple[DataFrame, Observation]:
+    """Rows as they should be written: gathered by layout, counted, sorted last.
+
+    Counting happens in the stage that writes, where a task that is repeated
+    counts once; the sort on top is the one the partitioned write asks for.
+    """
+    moved = _laid_out(rows, (*layout, *cluster_by[:1])) if rebalance else rows
+    counted, seen = _counted(moved)
+    if cluster_by:
+        counted = counted.sortWithinPartitions(*layout, *cluster_by)
+    return counted, seen
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """An insertion takes its overwrite mode from the session only."""
@@ -61,7 +77,7 @@ def append_raw(rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT)
     if rows.isEmpty():
         logger.warning("no rows to write to %s", target)
         return 0
-    counted, seen = _counted(_laid_out(rows, layout))
+    counted, seen = _prepared(rows, layout, ())
     writer = counted.write.format("parquet").mode("append").partitionBy(*layout)
     if is_path(target):
         writer.save(target)
@@ -71,7 +87,11 @@ def append_raw(rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT)
 
 
 def replace_partitions(
-    rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT, rebalance: bool = True
+    rows: DataFrame,
+    target: str,
+    layout: Sequence[str] = RAW_LAYOUT,
+    cluster_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> int:
     """Replace the partitions that occur in the batch and leave all others alone.
 
@@ -85,7 +105,7 @@ def replace_partitions(
     if rows.isEmpty():
         logger.warning("no rows to write to %s", target)
         return 0
-    counted, seen = _counted(_laid_out(rows, layout) if rebalance else rows)
+    counted, seen = _prepared(rows, layout, cluster_by, rebalance)
     if is_path(target):
         (
             counted.write.format("parquet")
@@ -160,7 +180,9 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         spark.sql(f"MSCK REPAIR TABLE {new} ADD PARTITIONS")
 
 
-def swap_in(rows: DataFrame, table: str, layout: Sequence[str]) -> int:
+def swap_in(
+    rows: DataFrame, table: str, layout: Sequence[str], cluster_by: Sequence[str] = ()
+) -> int:
     """Replace a catalog table as a whole; returns its rows.
 
     The rows may be computed from the table itself. They are written next to it
@@ -171,11 +193,8 @@ def swap_in(rows: DataFrame, table: str, layout: Sequence[str]) -> int:
     recover_table(spark, table)
     following, previous = f"{table}__next", f"{table}__previous"
     spark.sql(f"DROP TABLE IF EXISTS {following}")
-    counted, seen = _counted(rows)
-    writer = counted.write.format("parquet")
-    if layout:
-        writer = writer.partitionBy(*layout)
-    writer.saveAsTable(following)
+    counted, seen = _prepared(rows, layout, cluster_by)
+    counted.write.format("parquet").partitionBy(*layout).saveAsTable(following)
     existed = spark.catalog.tableExists(table)
     if existed:
         _rename(spark, table, previous)
@@ -185,22 +204,16 @@ def swap_in(rows: DataFrame, table: str, layout: Sequence[str]) -> int:
     return seen.get["rows"]
 
 
-def clustered(mart: DataFrame) -> DataFrame:
-    """Rows of a day and platform side by side, sorted by campaign within a file.
+def write_mart(mart: DataFrame, target: str) -> int:
+    """Build the whole mart table anew; returns its rows.
 
-    Readers that filter on platform or campaign skip row groups by their minima
-    and maxima. The rebalance splits a dominant day-platform over several files.
+    Rows of a day and platform lie side by side, sorted by campaign within a
+    file, so that readers who filter on platform or campaign skip row groups by
+    their minima and maxima. A dominant day-platform spreads over several files.
     """
-    return _laid_out(mart, ("report_date", "platform")).sortWithinPartitions(
-        "report_date", "platform", "campaign_id"
-    )
-
-
-def write_mart(mart: DataFrame, target: str) -> int:
-    """Build the whole mart table anew; returns its rows."""
     if not is_path(target):
-        return swap_in(clustered(mart), target, MART_LAYOUT)
-    counted, seen = _counted(clustered(mart))
+        return swap_in(mart, target, MART_LAYOUT, MART_CLUSTER)
+    counted, seen = _prepared(mart, MART_LAYOUT, MART_CLUSTER)
     counted.write.mode("overwrite").partitionBy(*MART_LAYOUT).parquet(target)
     return seen.get["rows"]
 
@@ -211,7 +224,7 @@ def refresh_mart(mart: DataFrame, target: str) -> int:
     With a mart built over the restated days this leaves the table as a full
     build would, at the cost of those days.
     """
-    return replace_partitions(clustered(mart), target, MART_LAYOUT, rebalance=False)
+    return replace_partitions(mart, target, MART_LAYOUT, MART_CLUSTER)
 
 
 def append_run(summary: DataFrame, target: str) -> None:
