@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.days import Day, as_day, between_days
 
 
+def calendar(start: Day, end: Day) -> Column:
+    """Array of all days of a range, both ends included."""
+    return F.sequence(as_day(start), as_day(end), F.expr("interval 1 day"))
+
+
 def scaffold(campaigns: DataFrame, start: Day, end: Day, day_column: str = "date") -> DataFrame:
     """Every campaign on every day, both ends included.
 
     The days are a constant array unrolled per row: each task expands its own
     campaigns and no join takes place.
     """
-    days = F.sequence(as_day(start), as_day(end), F.expr("interval 1 day"))
-    return campaigns.withColumn(day_column, F.explode(days))
+    return campaigns.withColumn(day_column, F.explode(calendar(start, end)))
 
 
 def missing_keys(required: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,7 +34,13 @@ def missing_keys(required: DataFrame, present: DataFrame, keys: Sequence[str]) -
 
 
 def missing_campaign_days(raw: DataFrame, start: Day, end: Day) -> DataFrame:
-    """Days in the range on which a campaign seen in it delivered nothing."""
+    """Days in the range on which a campaign seen in it delivered nothing.
+
+    One scan: campaign-days are made distinct, in part before the shuffle, so a
+    campaign then gathers at most one entry per day of the range, and only its
+    gaps are unrolled.
+    """
     seen = raw.where(between_days("date", start, end)).select("campaign_id", "date").distinct()
-    required = scaffold(seen.select("campaign_id").distinct(), start, end)
-    return missing_keys(required, seen, ("campaign_id", "date"))
+    by_campaign = seen.groupBy("campaign_id").agg(F.collect_list("date").alias("days"))
+    gaps = F.array_except(calendar(start, end), F.col("days"))
+    return by_campaign.select("campaign_id", F.explode(gaps).alias("date"))

@@ -176,7 +176,7 @@ def summarize(checks: DataFrame) -> DataFrame:
 
 
 def report(checks: DataFrame) -> DataFrame:
-    """The report as rows: a summary line, then one line per table."""
+    """The report as rows: a summary line, one line per table, warnings and errors."""
     summary = summarize(checks).select(
         F.lit("summary").alias("section"),
         F.lit(None).cast("string").alias("table_name"),
@@ -186,43 +186,42 @@ def report(checks: DataFrame) -> DataFrame:
         ).alias("result"),
         F.lit("").alias("issues"),
     )
-    per_table = checks.select(
-        F.lit("table").alias("section"),
-        "table_name",
-        "status",
-        F.when(
-            F.col("error").isNull(),
-            F.format_string(
-                "Today: %d | Yesterday: %d | Variance: %s%%",
-                "today_count", "yesterday_count", F.col("variance_percent").cast("string"),
-            ),
-        )
-        .otherwise(F.concat(F.lit("Error: "), F.col("error")))
-        .alias("result"),
-        F.concat_ws("; ", "issues").alias("issues"),
+    counts = F.format_string(
+        "Today: %d | Yesterday: %d | Variance: %s%%",
+        "today_count", "yesterday_count", F.col("variance_percent").cast("string"),
     )
 
-    def messages(section: str, column: str) -> DataFrame:
-        return checks.select(
+    def line(section: str, result: Column, status: Column, issues: Column) -> Column:
+        return F.struct(
             F.lit(section).alias("section"),
-            "table_name",
-            F.lit(None).cast("string").alias("status"),
-            F.explode(column).alias("result"),
-            F.lit("").alias("issues"),
+            F.col("table_name"),
+            status.alias("status"),
+            result.alias("result"),
+            issues.alias("issues"),
         )
 
-    return reduce(
-        DataFrame.unionByName,
-        (summary, per_table, messages("warning", "warnings"), messages("error", "errors")),
+    def messages(section: str, column: str) -> Column:
+        nothing = F.lit(None).cast("string")
+        return F.transform(column, lambda text: line(section, text, nothing, F.lit("")))
+
+    of_table = line(
+        "table",
+        F.when(F.col("error").isNull(), counts).otherwise(
+            F.concat(F.lit("Error: "), F.col("error"))
+        ),
+        F.col("status"),
+        F.concat_ws("; ", "issues"),
     )
+    lines = F.concat(F.array(of_table), messages("warning", "warnings"), messages("error", "errors"))
+    return summary.unionByName(checks.select(F.inline(lines)))
 
 
 def volume_history(rows: DataFrame, start: Day, end: Day) -> DataFrame:
     """Rows per ingestion day and platform with the change against the day before.
 
-    Counted per day first; days without rows are filled in from the calendar, so
-    that the previous row is always the previous day. The window then runs over
-    one row per platform and day.
+    Counted per day first, so a platform then gathers one entry per day. Days
+    without rows are filled in from the calendar, so that the previous row is
+    always the previous day; the window runs over one row per platform and day.
     """
     instant = F.col("ingested_at")
     in_range = (instant >= as_day(start).cast("timestamp")) & (
@@ -233,17 +232,15 @@ def volume_history(rows: DataFrame, start: Day, end: Day) -> DataFrame:
         .groupBy("source", F.to_date("ingested_at").alias("day"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    dense = scaffold(daily.select("source").distinct(), start, end, "day").join(
-        daily, ["source", "day"], "left"
+    by_source = daily.groupBy("source").agg(
+        F.map_from_entries(F.collect_list(F.struct("day", "row_count"))).alias("counts")
+    )
+    count = F.coalesce(F.try_element_at("counts", F.col("day")), F.lit(0))
+    dense = scaffold(by_source, start, end, "day").select(
+        "source", "day", count.alias("row_count")
     )
-    count = F.coalesce("row_count", F.lit(0))
-    by_day = Window.partitionBy("source").orderBy("day")
-    return dense.withColumn("row_count", count).select(
-        "source",
-        "day",
-        "row_count",
-        F.lag("row_count").over(by_day).alias("previous_count"),
-        F.bround(
-            variance_percent(F.col("row_count"), F.lag("row_count").over(by_day)), 2
-        ).alias("variance_percent"),
+    previous = F.lag("row_count").over(Window.partitionBy("source").orderBy("day"))
+    return dense.withColumn("previous_count", previous).withColumn(
+        "variance_percent",
+        F.bround(variance_percent(F.col("row_count"), F.col("previous_count")), 2),
     )

@@ -420,6 +420,12 @@ CROSS JOIN ({ALL_DAYS} AS date)""",
         f"""SELECT campaign_id, date
 FROM (SELECT DISTINCT campaign_id FROM raw_meta) CROSS JOIN ({ALL_DAYS} AS date)
 EXCEPT SELECT campaign_id, date FROM raw_meta""",
+    ),
+    "missing_from_dimension": with_(
+        RAW_GOOGLE,
+        f"""SELECT 'camp_' || s_suppkey AS campaign_id, date
+FROM supplier CROSS JOIN ({ALL_DAYS} AS date)
+EXCEPT SELECT campaign_id, date FROM raw_google""",
     ),
     # raw zone
     "ingestion_metadata": with_(
@@ -594,6 +600,7 @@ FROM mart""",
         MODELS, f"SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({day_counts(AS_OF)})"
     ),
     "volume_checks": with_(f"{MODELS},{VOLUME}", "SELECT * FROM volume"),
+    "volume_checks_by_table": with_(f"{MODELS},{VOLUME}", "SELECT * FROM volume"),
     "volume_summary": with_(f"{MODELS},{VOLUME}", "SELECT * FROM volume_totals"),
     "volume_report": with_(
         f"{MODELS},{VOLUME}",

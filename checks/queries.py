@@ -161,6 +161,15 @@ def missing_campaign_days(spark: SparkSession, sf: str) -> DataFrame:
     return calendar.missing_campaign_days(adapters.raw_meta(spark, sf), *ALL_DAYS)
 
 
+def missing_from_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """Every supplier is a campaign that should deliver on every day."""
+    campaigns = scan(spark, f"{sf}/supplier.parquet").select(
+        F.concat(F.lit("camp_"), "s_suppkey").alias("campaign_id")
+    )
+    required = calendar.scaffold(campaigns, *ALL_DAYS)
+    return calendar.missing_keys(required, adapters.raw_google(spark, sf), S.RAW_KEY)
+
+
 # Raw zone
 
 
@@ -326,7 +335,15 @@ def dq_suite_by_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def volume_result(spark: SparkSession, sf: str) -> DataFrame:
-    return volume.volume_checks(spark, watched(spark, sf), AS_OF)
+    google, meta = latest(spark, sf)
+    counts = suite.model_day_counts(
+        google, meta, mart.mart_from_raw(google, meta, CREATED_AT), AS_OF
+    )
+    return volume.evaluate(counts, volume.default_thresholds(spark))
+
+
+def volume_checks_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    return joined_texts(volume.volume_checks(spark, watched(spark, sf), AS_OF))
 
 
 def ingestion_day_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -421,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "account_records": account_records,
     "calendar_scaffold": calendar_scaffold,
     "missing_campaign_days": missing_campaign_days,
+    "missing_from_dimension": missing_from_dimension,
     # raw zone
     "ingestion_metadata": ingestion_metadata,
     "raw_append": raw_append,
@@ -470,6 +488,7 @@ QUERIES: dict[str, Query] = {
     # volume
     "ingestion_day_counts": ingestion_day_counts,
     "volume_checks": lambda spark, sf: joined_texts(volume_result(spark, sf)),
+    "volume_checks_by_table": volume_checks_by_table,
     "volume_summary": lambda spark, sf: volume.summarize(volume_result(spark, sf)),
     "volume_report": lambda spark, sf: volume.report(volume_result(spark, sf)),
     "volume_history": volume_history,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adloom import schemas as S
-from adloom.operators import quality
+from adloom.operators import quality, volume
 from adloom.plans import mart, staging, suite, unified
 from conftest import values
 
@@ -168,7 +168,7 @@ def test_suite_over_all_tables_is_clean_for_clean_data(frame):
     assert tuple(quality.tally(got).first()) == (36, 36, 0, 0)
 
 
-def test_the_model_suite_equals_the_suite_by_table(frame):
+def test_the_model_suite_equals_the_suite_by_table(spark, frame):
     g = frame(
         [(DAY, "g", "G", 100, 10, 5.0, NOW, "a", S.GOOGLE, None),
          (DAY, "g", "G", None, 10, None, NOW, "a", S.GOOGLE, 2),
@@ -193,3 +193,11 @@ def test_the_model_suite_equals_the_suite_by_table(frame):
     columns = ("table_name", "check_name", "violations", "status", "reported_rows")
     assert values(fused, *columns) == values(by_table, *columns)
     assert fused.where("status = 'FAIL'").count() > 10
+
+    frames = {S.RAW_GOOGLE_TABLE: g, S.RAW_META_TABLE: m, S.STG_GOOGLE_TABLE: stg_g,
+              S.STG_META_TABLE: stg_m, S.MART_TABLE: built}
+    columns = ("table_name", "today_count", "yesterday_count", "error")
+    for as_of in ("2024-01-06", "2024-01-07"):
+        together = suite.model_day_counts(g, m, built, as_of)
+        one_by_one = volume.counts_by_table(spark, frames, as_of)
+        assert values(together, *columns) == values(one_by_one, *columns)

@@ -331,3 +331,13 @@ def test_the_late_window_reads_its_days_only(spark, frame, folder):
     writes.append_raw(raw(frame, *((d, "a", 1, 1) for d in range(1, 12))), target)
     plan = plan_of(restate(scan(spark, target), raw(frame, (9, "a", 2, 2)), "2024-01-10"))
     assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_the_mart_is_sorted_once_after_its_rebalance(spark, folder, mart_rows):
+    name = f"s_{uuid.uuid4().hex[:8]}"
+    catalog.create_namespaces(spark, {"marts": name}, folder("schemas"))
+    writes.write_mart(mart_rows(30), f"{name}.t")
+    prepared, _ = writes._prepared(mart_rows(30), writes.MART_LAYOUT, writes.MART_CLUSTER)
+    prepared.select(*spark.table(f"{name}.t").columns).createOrReplaceTempView("prepared_mart")
+    plan = spark.sql(f"explain insert into {name}.t select * from prepared_mart").first()[0]
+    assert plan.count("Sort [") == 1 and plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
