@@ -57,6 +57,27 @@ def _prepared(
     return counted, seen
 
 
+def _fitted(rows: DataFrame, table: str) -> DataFrame:
+    """Rows in the shape of a stored table.
+
+    A column the batch lacks is NULL; one the table lacks is added to it, and
+    reads as NULL from the rows stored before.
+    """
+    spark = rows.sparkSession
+    known = set(spark.table(table).columns)
+    added = [f for f in rows.schema.fields if f.name not in known]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    given = set(rows.columns)
+    return rows.select(
+        *(
+            (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema.fields
+        )
+    )
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """An insertion takes its overwrite mode from the session only."""
@@ -72,11 +93,14 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 def append_raw(rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT) -> int:
     """Append a batch, creating the table if absent; returns the rows written.
 
-    An empty batch writes nothing.
+    An empty batch writes nothing. Batches of one source may differ in their
+    columns.
     """
     if rows.isEmpty():
         logger.warning("no rows to write to %s", target)
         return 0
+    if not is_path(target) and rows.sparkSession.catalog.tableExists(target):
+        rows = _fitted(rows, target)
     counted, seen = _prepared(rows, layout, ())
     writer = counted.write.format("parquet").mode("append").partitionBy(*layout)
     if is_path(target):
@@ -105,6 +129,9 @@ def replace_partitions(
     if rows.isEmpty():
         logger.warning("no rows to write to %s", target)
         return 0
+    stored = not is_path(target) and spark.catalog.tableExists(target)
+    if stored:
+        rows = _fitted(rows, target)
     counted, seen = _prepared(rows, layout, cluster_by, rebalance)
     if is_path(target):
         (
@@ -114,10 +141,10 @@ def replace_partitions(
             .partitionBy(*layout)
             .save(target)
         )
-    elif spark.catalog.tableExists(target):
-        # Insertion goes by position: take the stored column order.
+    elif stored:
+        # Insertion goes by position, in the stored column order.
         with _dynamic_overwrite(spark):
-            counted.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+            counted.write.insertInto(target, overwrite=True)
     else:
         counted.write.format("parquet").partitionBy(*layout).saveAsTable(target)
     return seen.get["rows"]

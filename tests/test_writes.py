@@ -341,3 +341,17 @@ def test_the_mart_is_sorted_once_after_its_rebalance(spark, folder, mart_rows):
     prepared.select(*spark.table(f"{name}.t").columns).createOrReplaceTempView("prepared_mart")
     plan = spark.sql(f"explain insert into {name}.t select * from prepared_mart").first()[0]
     assert plan.count("Sort [") == 1 and plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
+
+
+@pytest.mark.parametrize("write", [writes.append_raw, writes.replace_partitions])
+def test_batches_of_one_table_may_differ_in_columns(spark, frame, folder, write):
+    name = f"s_{uuid.uuid4().hex[:8]}"
+    catalog.create_namespaces(spark, {"raw": name}, folder("schemas"))
+    table = f"{name}.t"
+    flat = raw(frame, (1, "a", 1, 1)).withColumn("conversions", F.lit(4).cast("long"))
+    nested = raw(frame, (2, "b", 2, 1)).withColumn("video_views", F.lit(7).cast("long"))
+    write(flat, table)
+    write(nested, table)
+    assert values(spark.table(table), "campaign_id", "clicks", "conversions", "video_views", "date") == [
+        ("a", 1, 4, None, day(1)), ("b", 2, None, 7, day(2)),
+    ]
