@@ -42,11 +42,11 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def compare(spark, connection, folder: str, name: str) -> str | None:
-    """None where the results agree, else what differs."""
-    frame = registered()[name](spark, folder)
+def compare(spark, connection, folder: str, name: str, query=None, sql=None) -> str | None:
+    """None where the results agree, else what differs; ``query`` and ``sql`` if not those here."""
+    frame = (query or registered()[name])(spark, folder)
     got_columns, got = frame.columns, [tuple(r) for r in frame.collect()]
-    cursor = connection.execute(ORACLE[name])
+    cursor = connection.execute(sql or ORACLE[name])
     want_columns = [d[0] for d in cursor.description]
     want = cursor.fetchall()
     if sorted(got_columns) != sorted(want_columns):
