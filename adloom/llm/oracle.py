@@ -9,7 +9,7 @@ WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT k, doc_id, t, string_split(t, chr(10)) AS lines,
-    list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM d
 ), windows AS (
   SELECT k, i, array_to_string(w[i:i + 7], ' ') AS eight

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import quality_rules, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +20,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components_of(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
