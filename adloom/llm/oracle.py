@@ -1,5 +1,6 @@
 """The same results in DuckDB SQL, where SQL can express them."""
 
+from . import mixing as m
 from . import quality_rules as q
 
 _boilerplate = " OR ".join(f"contains(lower(line), '{p}')" for p in q.BOILERPLATE)
@@ -50,4 +51,35 @@ SELECT doc_id, n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines,
 FROM m
 """
 
-ORACLE = {"op7_quality_rules": OP7}
+OP6 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS k, doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5(concat_ws(chr(31), '{m.SEED}', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))) AS key
+  FROM documents
+), s AS (
+  SELECT source, source_size, {m.MOST} * source_size AS cap,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(m.WEIGHTS)}
+      {" ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(m.WEIGHTS))} END AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)
+), rounds AS (  -- share by weight; who is above its cap stops there, the rest is shared again
+  SELECT 0 AS n, (SELECT sum(source_size) FROM s) / (SELECT sum(weight) FROM s)::DOUBLE AS level
+  UNION ALL
+  SELECT n + 1, (SELECT sum(source_size) - coalesce(sum(cap) FILTER (cap < level * weight), 0) FROM s)
+    / (SELECT sum(weight) FILTER (cap >= level * weight) FROM s)::DOUBLE
+  FROM rounds WHERE n < (SELECT count(*) FROM s)
+    AND (SELECT count(*) FROM s WHERE cap < level * weight) > 0
+), t AS (
+  SELECT *, least(cap::DOUBLE, (SELECT max(level) FROM rounds) * weight) AS target FROM s
+), laid AS (
+  SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, k) - size AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN size = 0 THEN 0 ELSE words // source_size * size
+    + greatest(0, least(size, words % source_size - start)) END)::BIGINT AS taken
+FROM laid
+"""
+
+ORACLE = {"op6_source_mixing": OP6, "op7_quality_rules": OP7}
