@@ -4,15 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, simhash
+from . import byte_bpe, mixing, quality_rules, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+BPE_RANKS = "byte_bpe_50k.tiktoken"
+
+
+def encoded_digests(documents: DataFrame) -> DataFrame:
+    path = public_tokenizers.path(BPE_RANKS)
+    coded = byte_bpe.encode(documents, path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(coded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_of(mixing.mix(table(spark, sf_dir, "documents")))
 
