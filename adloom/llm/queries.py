@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality_rules, simhash
+from . import byte_bpe, mixing, personal_data, quality_rules, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,18 @@ def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = personal_data.KINDS
+    spans = personal_data.detect(table(spark, sf_dir, "documents"))
+    number = lambda k: F.size(F.filter("base", lambda s: s.getField("kind") == k)).cast("long")
+    return spans.select(
+        "doc_id",
+        *(number(k).alias(f"n_{kind}") for k, kind in enumerate(kinds)),
+        F.sha2(personal_data.written("base").cast("binary"), 256).alias("base_sha256"),
+        personal_data.written("all").alias("spans"),
+    )
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_of(mixing.mix(table(spark, sf_dir, "documents")))
 
