@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,4 +65,5 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    named = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {**named, "pipeline": corpus_pipeline.run}
