@@ -51,6 +51,19 @@ SELECT doc_id, n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines,
 FROM m
 """
 
+OP3 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS digest,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
+  FROM pages
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to,
+  true AS digest_agrees
+FROM p
+"""
+
 OP6 = rf"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS k, doc_id, source,
@@ -82,4 +95,4 @@ SELECT doc_id, size, source_size, target,
 FROM laid
 """
 
-ORACLE = {"op6_source_mixing": OP6, "op7_quality_rules": OP7}
+ORACLE = {"op3_web_archive": OP3, "op6_source_mixing": OP6, "op7_quality_rules": OP7}

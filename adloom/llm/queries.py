@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, personal_data, quality_rules, simhash
+from . import byte_bpe, mixing, personal_data, quality_rules, simhash, web_archive
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,18 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = web_archive.archived(table(spark, sf_dir, "pages"))
+    return web_archive.records(archive).select(
+        "page_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+        (F.sha1("payload") == F.col("digest")).alias("digest_agrees"),
+    )
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_of(mixing.mix(table(spark, sf_dir, "documents")))
 
