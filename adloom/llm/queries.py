@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, personal_data, quality_rules, simhash, web_archive
+from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, web_archive
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,18 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PIECES = "piece_bpe_32k.model"
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = language_id.is_held_out(F.col("doc_id"))
+    pieces = language_id.read_pieces(public_tokenizers.path(PIECES))
+    model = language_id.train(documents.where(~held_out), pieces)
+    found = language_id.predict(documents, model, "doc_id")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def registered() -> dict[str, Query]:
     named = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return {**named, "pipeline": corpus_pipeline.run}
