@@ -9,13 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, web_archive
+from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, token_counts, web_archive
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-BPE_RANKS = "byte_bpe_50k.tiktoken"
+BPE_RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def encoded_digests(documents: DataFrame) -> DataFrame:
@@ -57,6 +57,11 @@ def op3_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(documents, public_tokenizers.path(PIECES))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_of(mixing.mix(table(spark, sf_dir, "documents")))
 
@@ -76,9 +81,6 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PIECES = "piece_bpe_32k.model"
-
-
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = language_id.is_held_out(F.col("doc_id"))
