@@ -1,8 +1,8 @@
 """Byte-level BPE: encoding and decoding with the tokenizers library over Arrow batches.
 
 Bytes are mapped to printable characters, as the library's byte-level models need it; each match of
-the pattern is encoded by itself. A piece of text is encoded once for each task: distinct pieces
-of a batch go to the library together, and a bounded store keeps their ids. Very long texts are cut
+the pattern is encoded by itself. A piece of text goes to the library once in each task as long as
+a bounded store keeps its ids. Very long texts are cut
 where a word ends and a blank follows, which no match of the pattern crosses.
 
 Decoding maps ids to byte strings and joins those before anything is read as UTF-8, so a character
@@ -21,16 +21,15 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+from tokenizers import Regex, models, pre_tokenizers
 
 #: Distinct pieces a task remembers, characters encoded at once, tokens in one Arrow batch.
-REMEMBERED, CHUNK, BATCH_TOKENS = 400_000, 1_000_000, 2_000_000
+REMEMBERED, CHUNK, BATCH_TOKENS = 350_000, 1_000_000, 500_000
 
 
 def byte_characters() -> list[str]:
@@ -58,55 +57,78 @@ def merges_of(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
     return merges
 
 
-class Codec:
-    """A vocabulary of ranks, ready to encode and decode; built once in each task."""
-
-    def __init__(self, ranks: dict[bytes, int], merges: list[tuple[bytes, bytes]], pattern: str):
+def plain_pattern(pattern: str) -> str:
+    """The pattern with its Unicode classes written out, up to U+FFFF, as the library sees them.
+
+    Python's own engine runs it faster than any that knows the classes by name. Letters newer than
+    the library's tables are none here either: the library is asked about those that Python doesn't
+    know yet.
+    """
+    library = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "isolated")
+    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    recent = "".join(c for c in text if unicodedata.category(c) == "Cn")
+    known = {p for p, _ in library.pre_tokenize_str(recent) if len(p) == 1}
+    classes = {}
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        members = [
+            ord(c)
+            for c in regex.findall(name, text)
+            if unicodedata.category(c) != "Cn" or c in known
+        ]
+        starts = [c for c, before in zip(members, [None, *members], strict=False) if before != c - 1]
+        ends = [c for c, after in zip(members, [*members[1:], None], strict=True) if after != c + 1]
+        classes[name] = "".join(rf"\u{a:04x}-\u{b:04x}" for a, b in zip(starts, ends, strict=True))
+
+    def written(found: re.Match) -> str:
+        part = found.group()
+        if part.startswith("["):
+            for name, ranges in classes.items():
+                part = part.replace(name, ranges)
+            return part
+        return f"[^{classes[chr(92) + 's']}]" if part == r"\S" else f"[{classes[part]}]"
+
+    return re.sub(r"\[\^?[^\]]*\]|\\p\{[LN]\}|\\[sS]", written, pattern)
+
+
+class Codec(dict):
+    """A vocabulary of ranks, ready to encode and decode; built once in each task.
+
+    As a dict it holds the ids of the pieces met, as bytes.
+    """
+
+    def __init__(
+        self, ranks: dict[bytes, int], merges: list[tuple[bytes, bytes]], pattern: str, plain: str
+    ):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         shown = byte_characters()
         text = lambda token: "".join(shown[b] for b in token)
-        self.model = Tokenizer(
-            models.BPE(
-                vocab={text(t): r for t, r in ranks.items()},
-                merges=[(text(a), text(b)) for a, b in merges],
-            )
-        )
-        # Pieces come one by one, so here only bytes are mapped.
-        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenize = models.BPE(
+            vocab={text(t): r for t, r in ranks.items()},
+            merges=[(text(a), text(b)) for a, b in merges],
+        ).tokenize
+        self.shown = dict(enumerate(shown))
         self.bytes_of = {r: t for t, r in ranks.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.find = regex.compile(pattern).findall
+        self.find = re.compile(plain).findall
         self.library = pre_tokenizers.Split(Regex(pattern), "isolated")
-        # Letters newer than the library's Unicode tables: texts with them are split by the library.
-        new = (chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn")
-        new = sorted(map(ord, regex.findall(r"[\p{L}\p{N}]", "".join(new))))
-        starts = [c for c, before in zip(new, [None, *new], strict=False) if before != c - 1]
-        ends = [c for c, after in zip(new, [*new[1:], None], strict=True) if after != c + 1]
-        ranges = "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True))
-        self.late = re.compile(f"[{chr(new[0])}-\U0010ffff]").search if new else None
-        self.new = re.compile(f"[{ranges}]").search if new else None
+        self.far = re.compile("[\U00010000-\U0010ffff]").search
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        shown = piece.encode().decode("latin-1").translate(self.shown)
+        self[piece] = packed = np.array([t.id for t in self.tokenize(shown)], np.int32).tobytes()
+        return packed
 
     def pieces(self, text: str) -> list[str]:
-        late = self.late and not text.isascii() and self.late(text)
-        if late and self.new(text, late.start()):
+        """The matches of the pattern; texts with characters from beyond U+FFFF go to the library."""
+        if not text.isascii() and self.far(text):
             return [piece for piece, _ in self.library.pre_tokenize_str(text)]
         return self.find(text)
 
     def encode(self, text: str) -> np.ndarray:
-        found = [np.empty(0, np.int32)]
-        for part in chunks(text):
-            pieces = self.pieces(part)
-            new = list({p for p in pieces if p not in self.known})
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(set(pieces))
-            for piece, coded in zip(
-                new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True
-            ):
-                self.known[piece] = tuple(coded.ids)
-            ids = chain.from_iterable(map(self.known.__getitem__, pieces))
-            found.append(np.fromiter(ids, dtype=np.int32))
-        return np.concatenate(found)
+        ids = (b"".join(map(self.__getitem__, self.pieces(part))) for part in chunks(text))
+        return np.frombuffer(b"".join(ids), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -143,11 +165,11 @@ def encode(
 ) -> DataFrame:
     """``kept`` and ids; with ``offsets`` also starts and ends, in characters."""
     ranks = read_ranks(path)
-    merges = merges_of(ranks)
+    merges, plain = merges_of(ranks), plain_pattern(pattern)
     names = [*kept, "ids", *(["starts", "ends"] if offsets else [])]
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(ranks, merges, pattern)
+        codec = Codec(ranks, merges, pattern, plain)
         for batch in batches:
             texts, first, held = batch.column("__text"), 0, 0
             columns: list[list[np.ndarray]] = [[], [], []]
