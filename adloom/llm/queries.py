@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, token_counts, web_archive
+from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, suffix_dedup, token_counts, web_archive
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,18 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = lambda s: (s.getField("stop") - s.getField("start")).cast("long")
+    add = lambda total, n: total + n
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(F.transform("spans", length), F.lit(0).cast("long"), add).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = language_id.is_held_out(F.col("doc_id"))
