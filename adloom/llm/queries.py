@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, suffix_dedup, token_counts, web_archive
+from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, suffix_dedup, token_counts, top_k_search, web_archive
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents, public_tokenizers.path(PIECES))
 
 
+def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    asked = documents.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return top_k_search.search(documents, asked)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_of(mixing.mix(table(spark, sf_dir, "documents")))
 
