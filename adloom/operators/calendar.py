@@ -36,11 +36,27 @@ def missing_keys(required: DataFrame, present: DataFrame, keys: Sequence[str]) -
 def missing_campaign_days(raw: DataFrame, start: Day, end: Day) -> DataFrame:
     """Days in the range on which a campaign seen in it delivered nothing.
 
-    One scan: campaign-days are made distinct, in part before the shuffle, so a
+    Rows without a campaign are nobody's. One scan: campaign-days are made distinct, in part before the shuffle, so a
     campaign then gathers at most one entry per day of the range, and only its
     gaps are unrolled.
     """
-    seen = raw.where(between_days("date", start, end)).select("campaign_id", "date").distinct()
+    known = between_days("date", start, end) & F.col("campaign_id").isNotNull()
+    seen = raw.where(known).select("campaign_id", "date").distinct()
     by_campaign = seen.groupBy("campaign_id").agg(F.collect_list("date").alias("days"))
     gaps = F.array_except(calendar(start, end), F.col("days"))
     return by_campaign.select("campaign_id", F.explode(gaps).alias("date"))
+
+
+def missing_from_dimension(campaigns: DataFrame, raw: DataFrame, start: Day, end: Day) -> DataFrame:
+    """Days of the range on which a campaign of the dimension delivered nothing.
+
+    Each campaign meets its array of days, one row at most; only gaps are unrolled.
+    """
+    known = between_days("date", start, end) & F.col("campaign_id").isNotNull()
+    seen = raw.where(known).select("campaign_id", "date").distinct()
+    by_campaign = seen.groupBy("campaign_id").agg(F.collect_list("date").alias("days"))
+    required = campaigns.select("campaign_id").where(F.col("campaign_id").isNotNull()).distinct()
+    days = F.coalesce("days", F.array().cast("array<date>"))
+    return required.join(by_campaign, "campaign_id", "left").select(
+        "campaign_id", F.explode(F.array_except(calendar(start, end), days)).alias("date")
+    )

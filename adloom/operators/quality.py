@@ -91,13 +91,17 @@ def mart_test(name: str) -> RowCheck:
     return RowCheck(name, predicate(), ("report_date", "campaign_id", "platform", *listed))
 
 
-def violations(mart: DataFrame, check: RowCheck, limit: int = S.VIOLATION_REPORT_ROWS) -> DataFrame:
-    """The newest violating rows: a top-k report, not a global row numbering.
+def violations(mart: DataFrame, check: RowCheck, newest: int | None = None) -> DataFrame:
+    """Every violating row; with ``newest``, so many of them from the last days.
 
-    Ties within a day are settled by the rest of the grain, newest version first.
+    The shorter report is a top-k, not a global row numbering. Ties within a day
+    are settled by the rest of the grain, newest version first.
     """
-    newest = [F.desc("report_date"), "platform", "campaign_id", F.desc("ingested_at")]
-    return mart.where(check.violates).orderBy(*newest).limit(limit).select(*check.listed)
+    found = mart.where(check.violates)
+    if newest is not None:
+        order = [F.desc("report_date"), "platform", "campaign_id", F.desc("ingested_at")]
+        found = found.orderBy(*order).limit(newest)
+    return found.select(*check.listed)
 
 
 # Checks over whole tables.

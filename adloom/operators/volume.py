@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from adloom import schemas as S
 from adloom.functions.conversion import present_only
 from adloom.functions.days import Day, as_day, day_before, on_day
+from adloom.functions.rounding import round_binary
 from adloom.operators.calendar import scaffold
 
 Tables = Mapping[str, "DataFrame | Callable[[], DataFrame]"]
@@ -49,13 +50,13 @@ _COUNTS = "table_name string, today_count bigint, yesterday_count bigint, error
 
 
 def counts_by_table(
-    spark: SparkSession, tables: Tables, as_of: Day = None, isolate: bool = False
+    spark: SparkSession, tables: Tables, as_of: Day = None, isolate: bool = True
 ) -> DataFrame:
     """One row per table; a table that cannot be resolved yields its error instead.
 
-    Give a table as a function where looking it up may fail. All tables are
-    counted in one job; with ``isolate`` each is counted by itself, so that files
-    that turn out unreadable become an error of their table as well.
+    Give a table as a function where looking it up may fail. Each table is counted
+    by itself, so that files that turn out unreadable become an error of their
+    table as well; without ``isolate`` all are counted in one job.
     """
 
     def failed(name: str, error: Exception) -> DataFrame:
@@ -95,7 +96,7 @@ def evaluate(counts: DataFrame, thresholds: DataFrame) -> DataFrame:
     today, yesterday = F.col("today_count"), F.col("yesterday_count")
     low, high = F.col("min_daily_records"), F.col("max_daily_records")
     change, allowed = F.col("_change"), F.col("max_variance_percent")
-    shown_change = F.bround(change, 1)
+    shown_change = round_binary(change, 1)
     failed = F.col("error").isNotNull()
     below, above, varied = today < low, today > high, change > allowed
 
@@ -118,7 +119,7 @@ def evaluate(counts: DataFrame, thresholds: DataFrame) -> DataFrame:
         "description",
         "today_count",
         "yesterday_count",
-        F.bround(change, 2).alias("variance_percent"),
+        round_binary(change, 2).alias("variance_percent"),
         F.when(failed, "ERROR")
         .when(varied, "WARN")
         .when(below | above, "FAIL")
@@ -151,7 +152,7 @@ def volume_checks(
     tables: Tables,
     as_of: Day = None,
     thresholds: DataFrame | None = None,
-    isolate: bool = False,
+    isolate: bool = True,
 ) -> DataFrame:
     limits = default_thresholds(spark) if thresholds is None else thresholds
     return evaluate(counts_by_table(spark, tables, as_of, isolate), limits)
@@ -242,5 +243,5 @@ def volume_history(rows: DataFrame, start: Day, end: Day) -> DataFrame:
     previous = F.lag("row_count").over(Window.partitionBy("source").orderBy("day"))
     return dense.withColumn("previous_count", previous).withColumn(
         "variance_percent",
-        F.bround(variance_percent(F.col("row_count"), F.col("previous_count")), 2),
+        round_binary(variance_percent(F.col("row_count"), F.col("previous_count")), 2),
     )

@@ -9,9 +9,9 @@ holds a large part of the batch over several tasks and files.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +28,6 @@ logger = logging.getLogger(__name__)
 RAW_LAYOUT = ("date",)
 MART_LAYOUT = ("report_date",)
 MART_CLUSTER = ("platform", "campaign_id")
-# One folder per day and run: a repeated run replaces exactly its own rows.
-RUN_LAYOUT = ("date", "extract_run_id")
 
 
 def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
@@ -78,27 +76,30 @@ def _fitted(rows: DataFrame, table: str) -> DataFrame:
     )
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """An insertion takes its overwrite mode from the session only."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+def _overwrites_dynamically(spark: SparkSession, table: str) -> None:
+    """An insertion takes its overwrite mode from the table, whatever the session's is."""
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Storage Properties'")
+    row = detail.first()
+    if row is None or "partitionOverwriteMode=dynamic" not in row["data_type"]:
+        spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+
+
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, layout: Sequence[str] = RAW_LAYOUT
+) -> None:
+    """An empty table, unless there is one."""
+    if not spark.catalog.tableExists(table):
+        empty = spark.createDataFrame([], schema)
+        empty.write.format("parquet").partitionBy(*layout).saveAsTable(table)
 
 
 def append_raw(rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT) -> int:
     """Append a batch, creating the table if absent; returns the rows written.
 
-    An empty batch writes nothing. Batches of one source may differ in their
-    columns.
+    An empty batch adds no rows; its table is created like any other. Batches of one
+    source may differ in their columns. The input is computed once: rows are counted
+    while they are written.
     """
-    if rows.isEmpty():
-        logger.warning("no rows to write to %s", target)
-        return 0
     if not is_path(target) and rows.sparkSession.catalog.tableExists(target):
         rows = _fitted(rows, target)
     counted, seen = _prepared(rows, layout, ())
@@ -107,7 +108,14 @@ def append_raw(rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT)
         writer.save(target)
     else:
         writer.saveAsTable(target)
-    return seen.get["rows"]
+    return _reported(seen, target)
+
+
+def _reported(seen: Observation, target: str) -> int:
+    n = seen.get["rows"]
+    if not n:
+        logger.warning("no rows to write to %s", target)
+    return n
 
 
 def replace_partitions(
@@ -120,15 +128,11 @@ def replace_partitions(
     """Replace the partitions that occur in the batch and leave all others alone.
 
     With the day as the layout a rerun replaces its days; give whole days, or the
-    campaigns missing from the batch are lost. With ``RUN_LAYOUT`` a repeated run
-    replaces its own rows only. Reading the table being written is allowed: the
-    old partitions give way when the job commits. ``rebalance=False`` is for rows
-    that already lie as they should be written.
+    campaigns missing from the batch are lost. An empty batch replaces nothing. Reading
+    the table being written is allowed: the old partitions give way when the job
+    commits. ``rebalance=False`` is for rows that already lie as they should be written.
     """
     spark = rows.sparkSession
-    if rows.isEmpty():
-        logger.warning("no rows to write to %s", target)
-        return 0
     stored = not is_path(target) and spark.catalog.tableExists(target)
     if stored:
         rows = _fitted(rows, target)
@@ -143,11 +147,49 @@ def replace_partitions(
         )
     elif stored:
         # Insertion goes by position, in the stored column order.
-        with _dynamic_overwrite(spark):
-            counted.write.insertInto(target, overwrite=True)
+        _overwrites_dynamically(spark, target)
+        counted.write.insertInto(target, overwrite=True)
     else:
         counted.write.format("parquet").partitionBy(*layout).saveAsTable(target)
-    return seen.get["rows"]
+    return _reported(seen, target)
+
+
+def _exists(spark: SparkSession, target: str) -> bool:
+    if not is_path(target):
+        return spark.catalog.tableExists(target)
+    path, files = _path(spark, target)
+    return files.exists(path)
+
+
+def replace_run(rows: DataFrame, run_id: str, target: str) -> int:
+    """Write the rows of one run in the place of what that run wrote to their days before.
+
+    The layout is by day, as of every raw table: the days of the batch are read, the run's
+    own rows left out, and the days replaced. So a repeated batch leaves no duplicates,
+    and small batches don't pile up as small files. Returns the rows of these days.
+    """
+    spark = rows.sparkSession
+    rows = rows.persist()
+    try:
+        days = [row["date"] for row in rows.select("date").distinct().collect()]
+        if days and _exists(spark, target):
+            stored = scan(spark, target)
+            others = _of_days(stored, days).where(~F.col("extract_run_id").eqNullSafe(run_id))
+            rows = others.unionByName(rows, allowMissingColumns=True)
+        return replace_partitions(rows, target)
+    finally:
+        rows.unpersist()
+
+
+def _of_days(rows: DataFrame, days: Sequence) -> DataFrame:
+    wanted = F.col("date").isin(*(d for d in days if d is not None))
+    return rows.where(wanted | F.col("date").isNull() if None in days else wanted)
+
+
+def compact_days(spark: SparkSession, target: str, among: Column | None = None) -> int:
+    """Rewrite days, all or those of a condition on ``date``, to files of the usual size."""
+    stored = scan(spark, target)
+    return replace_partitions(stored if among is None else stored.where(among), target)
 
 
 def days_with_repeats(raw: DataFrame) -> DataFrame:
@@ -171,40 +213,88 @@ def dedup_days(
     The kept rows are first written to ``copy`` (by default in the shared
     folder) and replace the stored days from there: until that copy is complete
     the table is unchanged, and if the replacement is interrupted
-    ``replace_partitions(scan(spark, copy), target)`` completes it.
+    ``replace_partitions(scan(spark, copy), target)`` completes it. Returns the
+    rows that the rewritten days now hold. A copy of its own making goes at the end.
     """
     stored = scan(spark, target, schema)
     searched = stored if among is None else stored.where(among)
     days = [row["date"] for row in days_with_repeats(searched).collect()]
-    if days:
-        repeated = F.col("date").isin(*(d for d in days if d is not None))
-        if None in days:
-            repeated = repeated | F.col("date").isNull()
-        kept = latest_raw(stored.where(repeated), settle_ties=True)
-        folder = copy or shared_folder(spark, "dedup")
-        logger.info("rewriting %d days of %s by way of %s", len(days), target, folder)
-        _laid_out(kept, RAW_LAYOUT).write.partitionBy(*RAW_LAYOUT).parquet(folder)
-        replace_partitions(scan(spark, folder, stored.schema), target, rebalance=False)
-    return scan(spark, target, schema).count()
+    if not days:
+        return 0
+    kept = latest_raw(_of_days(stored, days), settle_ties=True)
+    folder = copy or shared_folder(spark, "dedup")
+    logger.info("rewriting %d days of %s by way of %s", len(days), target, folder)
+    _laid_out(kept, RAW_LAYOUT).write.partitionBy(*RAW_LAYOUT).parquet(folder)
+    held = replace_partitions(scan(spark, folder, stored.schema), target, rebalance=False)
+    if copy is None:
+        _delete(spark, folder)
+    return held
+
+
+ROWS = "adloom.rows"
+
+
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a table. The files of an external one stay, so its partitions do too."""
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    _repair(spark, new)
+
+
+def _repair(spark: SparkSession, table: str) -> None:
+    """Point the partitions of a managed table, whose folder moved, at that folder."""
+    if _details(spark, table).get("Type") == "EXTERNAL":
+        return
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        spark.sql(f"MSCK REPAIR TABLE {table} DROP PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {table} ADD PARTITIONS")
+
+
+def _discard(spark: SparkSession, table: str) -> None:
+    """Drop a table and, where it is external, its folder."""
+    details = _details(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    if details.get("Type") == "EXTERNAL":
+        _delete(spark, details["Location"])
+
+
+def _is_complete(spark: SparkSession, table: str) -> bool:
+    """Whether the table holds as many rows as were written to it."""
+    properties = _details(spark, table).get("Table Properties", "")
+    written = re.search(rf"{re.escape(ROWS)}=(\d+)", properties)
+    return written is not None and spark.table(table).count() == int(written[1])
 
 
 def recover_table(spark: SparkSession, table: str) -> None:
-    """Finish or undo a swap that was interrupted between its two renames."""
+    """Finish or undo a swap that was interrupted.
+
+    The old copy is dropped only once the new one is there and holds as many rows as
+    were written. If it does not, both stay and an error names them.
+    """
     previous = f"{table}__previous"
     if not spark.catalog.tableExists(previous):
         return
-    if spark.catalog.tableExists(table):
-        spark.sql(f"DROP TABLE {previous}")
-    else:
+    if not spark.catalog.tableExists(table):
         _rename(spark, previous, table)
-
-
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    """Rename a table and point its partitions at the renamed folder."""
-    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
-    if any(column.isPartition for column in spark.catalog.listColumns(new)):
-        spark.sql(f"MSCK REPAIR TABLE {new} DROP PARTITIONS")
-        spark.sql(f"MSCK REPAIR TABLE {new} ADD PARTITIONS")
+        return
+    _repair(spark, previous)
+    if not _is_complete(spark, table):
+        raise RuntimeError(f"{table} isn't complete; its former rows are in {previous}")
+    _discard(spark, previous)
 
 
 def swap_in(
@@ -212,23 +302,46 @@ def swap_in(
 ) -> int:
     """Replace a catalog table as a whole; returns its rows.
 
-    The rows may be computed from the table itself. They are written next to it
-    and take over its name once complete, so that the old table stays readable
-    through the whole computation and after a failure.
+    The rows may be computed from the table itself. Each build goes to a new folder of
+    an external table and is counted there; two renames, which move no file, then give
+    it the name. The old rows stay until the new ones are in place: after a crash at any
+    point ``recover_table`` (each swap begins with it) leaves the old or the new table.
+    Between the renames the name is missing for a moment.
     """
     spark = rows.sparkSession
     recover_table(spark, table)
     following, previous = f"{table}__next", f"{table}__previous"
-    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    if spark.catalog.tableExists(following):
+        _discard(spark, following)
+    schema, _, name = table.rpartition(".")
+    root = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
     counted, seen = _prepared(rows, layout, cluster_by)
-    counted.write.format("parquet").partitionBy(*layout).saveAsTable(following)
+    writer = counted.write.format("parquet").partitionBy(*layout)
+    writer.option("path", f"{root}/{name}-{uuid.uuid4().hex}").saveAsTable(following)
+    n = seen.get["rows"]
+    spark.sql(f"ALTER TABLE {following} SET TBLPROPERTIES ('{ROWS}' = '{n}')")
+    if not _is_complete(spark, following):
+        raise RuntimeError(f"{following} doesn't hold the {n} rows written to it")
     existed = spark.catalog.tableExists(table)
     if existed:
         _rename(spark, table, previous)
     _rename(spark, following, table)
     if existed:
-        spark.sql(f"DROP TABLE {previous}")
-    return seen.get["rows"]
+        _discard(spark, previous)
+    # Later appends change the number of rows.
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{ROWS}')")
+    return n
+
+
+def recover_folder(spark: SparkSession, target: str) -> None:
+    """Undo the replacement of a folder that was interrupted between its two renames."""
+    path, files = _path(spark, target)
+    previous, _ = _path(spark, f"{target}__previous")
+    if files.exists(previous):
+        if files.exists(path):
+            files.delete(previous, True)
+        else:
+            files.rename(previous, path)
 
 
 def write_mart(mart: DataFrame, target: str) -> int:
@@ -236,12 +349,22 @@ def write_mart(mart: DataFrame, target: str) -> int:
 
     Rows of a day and platform lie side by side, sorted by campaign within a
     file, so that readers who filter on platform or campaign skip row groups by
-    their minima and maxima. A dominant day-platform spreads over several files.
+    their minima and maxima. A dominant day-platform spreads over several files. A folder
+    is written next to the old one and takes its place once complete.
     """
     if not is_path(target):
         return swap_in(mart, target, MART_LAYOUT, MART_CLUSTER)
+    spark = mart.sparkSession
+    recover_folder(spark, target)
+    path, files = _path(spark, target)
+    following, _ = _path(spark, f"{target}__next-{uuid.uuid4().hex}")
+    previous, _ = _path(spark, f"{target}__previous")
     counted, seen = _prepared(mart, MART_LAYOUT, MART_CLUSTER)
-    counted.write.mode("overwrite").partitionBy(*MART_LAYOUT).parquet(target)
+    counted.write.partitionBy(*MART_LAYOUT).parquet(following.toString())
+    if files.exists(path):
+        files.rename(path, previous)
+    files.rename(following, path)
+    files.delete(previous, True)
     return seen.get["rows"]
 
 

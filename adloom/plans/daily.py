@@ -16,6 +16,7 @@ from adloom.operators.metadata import new_run_id, stamp
 from adloom.operators.writes import (
     append_raw,
     append_run,
+    create_table,
     dedup_days,
     refresh_mart,
     write_mart,
@@ -50,19 +51,20 @@ class Layers:
         return catalog.qualified(S.RUN_SUMMARY_TABLE, "marts", self.schemas)
 
 
-def model_frames(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
-    """Every model over the stored raw tables, the mart as stored."""
-    raw_google = scan_as(spark, layers.raw_google, S.RAW_GOOGLE)
-    raw_meta = scan_as(spark, layers.raw_meta, S.RAW_META)
-    stg_google, stg_meta = stage_google(raw_google), stage_meta(raw_meta)
-    return {
-        S.RAW_GOOGLE_TABLE: raw_google,
-        S.RAW_META_TABLE: raw_meta,
-        S.STG_GOOGLE_TABLE: stg_google,
-        S.STG_META_TABLE: stg_meta,
-        S.UNIFIED_TABLE: unify(stg_google, stg_meta),
-        S.MART_TABLE: spark.table(layers.mart),
-    }
+def model_frame(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
+    """One model over the stored raw tables; the mart as stored."""
+    if table == S.MART_TABLE:
+        return spark.table(layers.mart)
+    if table in (S.RAW_GOOGLE_TABLE, S.STG_GOOGLE_TABLE):
+        raw = scan_as(spark, layers.raw_google, S.RAW_GOOGLE)
+        return raw if table == S.RAW_GOOGLE_TABLE else stage_google(raw)
+    raw = scan_as(spark, layers.raw_meta, S.RAW_META)
+    return raw if table == S.RAW_META_TABLE else stage_meta(raw)
+
+
+WATCHED = (
+    S.RAW_GOOGLE_TABLE, S.RAW_META_TABLE, S.STG_GOOGLE_TABLE, S.STG_META_TABLE, S.MART_TABLE,
+)
 
 
 def small(results: DataFrame) -> DataFrame:
@@ -87,9 +89,9 @@ def run_daily(
     Each step ends in a stored table, so a step that fails can be repeated from
     the one before it. Returns the summary row appended to the run log.
 
-    With ``since``, the first day the batches cover, deduplication looks at the
-    days from there on and only those days of an existing mart are rebuilt;
-    without it everything is. A run that fails is logged with the step and the
+    With ``since``, the first day the batches cover, deduplication and the model's
+    tests look at the days from there on, and only those days of an existing mart are
+    rebuilt; without it everything is. A run that fails is logged with the step and the
     error before the error is raised.
     """
     run = run_id or new_run_id()
@@ -123,6 +125,9 @@ def run_daily(
         append_run(summary, layers.run_summary)
 
     try:
+        # A source that never delivered is an empty table.
+        create_table(spark, layers.raw_google, S.RAW_GOOGLE)
+        create_table(spark, layers.raw_meta, S.RAW_META)
         for source, records, table in (
             (S.GOOGLE, google, layers.raw_google),
             (S.META, meta, layers.raw_meta),
@@ -130,9 +135,8 @@ def run_daily(
             step = f"ingest_{source}"
             written[source] = append_raw(stamp(records, source, run, ingested_at), table)
             step = f"deduplicate_{source}"
-            if spark.catalog.tableExists(table):
-                covered = None if since is None else F.col("date") >= as_day(since)
-                dedup_days(spark, table, among=covered)
+            covered = None if since is None else F.col("date") >= as_day(since)
+            dedup_days(spark, table, among=covered)
 
         step = "build_mart"
         union = unify(
@@ -146,15 +150,15 @@ def run_daily(
             write_mart(build_mart(union, ingested_at), layers.mart)
 
         step = "test_models"
-        frames = model_frames(spark, layers)
-        tests = small(
-            suite.run_model_suite(
-                frames[S.RAW_GOOGLE_TABLE], frames[S.RAW_META_TABLE], frames[S.MART_TABLE]
-            )
-        )
+        stored = {t: model_frame(spark, layers, t) for t in (S.RAW_GOOGLE_TABLE, S.RAW_META_TABLE, S.MART_TABLE)}
+        if since is not None:
+            # What lies before was tested when it was written.
+            day = {S.MART_TABLE: "report_date"}
+            stored = {t: f.where(F.col(day.get(t, "date")) >= as_day(since)) for t, f in stored.items()}
+        tests = small(suite.run_model_suite(*stored.values()))
         step = "check_volumes"
-        watched = {t: f for t, f in frames.items() if t != S.UNIFIED_TABLE}
-        volumes = small(volume.volume_checks(spark, watched, as_of, isolate=True))
+        watched = {t: lambda t=t: model_frame(spark, layers, t) for t in WATCHED}
+        volumes = small(volume.volume_checks(spark, watched, as_of))
     except Exception as error:
         log("failed", error=str(error))
         raise

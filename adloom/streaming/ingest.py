@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adloom.operators.metadata import stamp
-from adloom.operators.writes import RUN_LAYOUT, replace_partitions
+from adloom.operators.writes import replace_run
 from adloom.sources.insights import LandedSource
 
 Clock = Callable[[int], "dt.datetime | str | None"]
@@ -41,8 +41,8 @@ def write_batches(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        stamped = stamp(batch, source, batch_run_id(stream_id, number), ingested_at(number))
-        replace_partitions(stamped, target, RUN_LAYOUT)
+        run = batch_run_id(stream_id, number)
+        replace_run(stamp(batch, source, run, ingested_at(number)), run, target)
 
     return (
         records.writeStream.trigger(availableNow=True)

@@ -264,10 +264,9 @@ tally AS (
 )"""
 
 
-def newest_violations(check: str, columns: str) -> str:
+def all_violations(check: str, columns: str) -> str:
     return f"""SELECT report_date, campaign_id, platform{columns} FROM mart
-WHERE {MART_PREDICATES[check]}
-ORDER BY report_date DESC, platform, campaign_id, ingested_at DESC LIMIT 1000"""
+WHERE {MART_PREDICATES[check]}"""
 
 
 def accepted_range() -> str:
@@ -315,7 +314,7 @@ measured AS (
 ),
 volume AS (
   SELECT table_name, description, today AS today_count, yesterday AS yesterday_count,
-         round_even(change, 2) AS variance_percent,
+         CAST(printf('%.2f', change) AS DOUBLE) AS variance_percent,
          CASE WHEN change > allowed THEN 'WARN'
               WHEN today < low OR today > high THEN 'FAIL' ELSE 'PASS' END AS status,
          CASE WHEN today < low OR today > high THEN 'FAIL'
@@ -327,10 +326,10 @@ volume AS (
              printf('Record count (%d) exceeds maximum threshold (%d)', today, high) END,
            CASE WHEN change > allowed THEN
              printf('Day-over-day variance (%.1f%%) exceeds threshold (%d%%)',
-                    round_even(change, 1), allowed) END) AS issues,
+                    change, allowed) END) AS issues,
          concat_ws('; ', CASE WHEN change > allowed THEN
            printf('%s: High variance (%.1f%%, yesterday: %d)',
-                  table_name, round_even(change, 1), yesterday) END) AS warnings,
+                  table_name, change, yesterday) END) AS warnings,
          concat_ws('; ',
            CASE WHEN today < low THEN
              printf('%s: Below minimum threshold (%d/%d)', table_name, today, low) END,
@@ -371,17 +370,15 @@ def run_row(run: str, start: str, end: str, seconds: int, google: str, meta: str
 FROM tally t CROSS JOIN volume_totals v"""
 
 
-# The two runs of the daily chain stamp their rows themselves, so that both fall
-# on the reported day; the newer run wins.
-RAN = "extract_run_id IN ('run_1', 'run_2')"
-
+# The runs of the daily chain stamp their rows themselves, so that all fall on the
+# reported day; the newest run wins.
 
 def restamped(name: str, source: str) -> str:
     return f"""
 {name} AS (
   SELECT * REPLACE (
     {AS_OF} + to_hours(CAST(right(extract_run_id, 1) AS INTEGER)) AS ingested_at)
-  FROM {source} WHERE {RAN}
+  FROM {source}
 )"""
 
 
@@ -423,8 +420,8 @@ EXCEPT SELECT campaign_id, date FROM raw_meta""",
     ),
     "missing_from_dimension": with_(
         RAW_GOOGLE,
-        f"""SELECT 'camp_' || s_suppkey AS campaign_id, date
-FROM supplier CROSS JOIN ({ALL_DAYS} AS date)
+        f"""SELECT 'camp_' || c_custkey AS campaign_id, date
+FROM customer CROSS JOIN ({ALL_DAYS} AS date)
 EXCEPT SELECT campaign_id, date FROM raw_google""",
     ),
     # raw zone
@@ -572,18 +569,23 @@ FROM mart WHERE report_date >= {AS_OF} - 7 GROUP BY platform""",
 GROUP BY report_date, campaign_id, platform HAVING count(*) > 1""",
     ),
     "dq_clicks_not_exceeding_impressions": with_(
-        MODELS, newest_violations("clicks_not_exceeding_impressions", ", impressions, clicks")
+        MODELS, all_violations("clicks_not_exceeding_impressions", ", impressions, clicks")
     ),
     "dq_clicks_all_runs": with_(
-        ALL_RUNS, newest_violations("clicks_not_exceeding_impressions", ", impressions, clicks")
+        ALL_RUNS, all_violations("clicks_not_exceeding_impressions", ", impressions, clicks")
+    ),
+    "dq_clicks_newest": with_(
+        ALL_RUNS,
+        all_violations("clicks_not_exceeding_impressions", ", impressions, clicks")
+        + " ORDER BY report_date DESC, platform, campaign_id, ingested_at DESC LIMIT 1000",
     ),
     "dq_ctr_not_exceeding_100_percent": with_(
-        MODELS, newest_violations("ctr_not_exceeding_100_percent", ", clicks, impressions, ctr")
+        MODELS, all_violations("ctr_not_exceeding_100_percent", ", clicks, impressions, ctr")
     ),
-    "dq_kpi_calculations": with_(MODELS, newest_violations("kpi_calculations", "")),
+    "dq_kpi_calculations": with_(MODELS, all_violations("kpi_calculations", "")),
     "dq_no_negative_metrics": with_(
         MODELS,
-        newest_violations("no_negative_metrics", ", impressions, clicks, spend, conversions"),
+        all_violations("no_negative_metrics", ", impressions, clicks, spend, conversions"),
     ),
     "dq_accepted_range": with_(MODELS, accepted_range()),
     "dq_recency": with_(
@@ -617,9 +619,9 @@ UNION ALL SELECT 'error', table_name, NULL, errors, '' FROM volume WHERE errors
     ),
     "volume_history": with_(
         MODELS,
-        f"""SELECT *, round_even(CASE WHEN previous_count > 0
+        f"""SELECT *, CAST(printf('%.2f', CASE WHEN previous_count > 0
          THEN CAST(abs(row_count - previous_count) AS DOUBLE) / previous_count * 100
-         ELSE 0.0 END, 2) AS variance_percent
+         ELSE 0.0 END) AS DOUBLE) AS variance_percent
 FROM (
   SELECT source, day, coalesce(n, 0) AS row_count,
          lag(coalesce(n, 0)) OVER (PARTITION BY source ORDER BY day) AS previous_count

@@ -162,12 +162,11 @@ def missing_campaign_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_from_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    """Every supplier is a campaign that should deliver on every day."""
-    campaigns = scan(spark, f"{sf}/supplier.parquet").select(
-        F.concat(F.lit("camp_"), "s_suppkey").alias("campaign_id")
+    """Every customer is a campaign that should deliver on every day; few are suppliers too."""
+    campaigns = scan(spark, f"{sf}/customer.parquet").select(
+        F.concat(F.lit("camp_"), "c_custkey").alias("campaign_id")
     )
-    required = calendar.scaffold(campaigns, *ALL_DAYS)
-    return calendar.missing_keys(required, adapters.raw_google(spark, sf), S.RAW_KEY)
+    return calendar.missing_from_dimension(campaigns, adapters.raw_google(spark, sf), *ALL_DAYS)
 
 
 # Raw zone
@@ -317,6 +316,12 @@ def dq_report(name: str, source: Query = the_mart) -> Query:
     return lambda spark, sf: quality.violations(source(spark, sf), quality.mart_test(name))
 
 
+def dq_clicks_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The report's newest thousand rows of those in dq_clicks_all_runs."""
+    check = quality.mart_test("clicks_not_exceeding_impressions")
+    return quality.violations(all_runs_mart(spark, sf), check, newest=S.VIOLATION_REPORT_ROWS)
+
+
 def dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
     frames = model(spark, sf)
     return quality.accepted_values_suite({t: frames[t] for t in quality.ACCEPTED_PLATFORMS})
@@ -403,10 +408,10 @@ def recent_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs of the whole chain over stored tables; the second one's log row."""
+    """Three runs of the whole chain over stored tables; the last one's log row."""
     layers = private_layers(spark)
     google, meta = raw(spark, sf)
-    for number in (1, 2):
+    for number in (0, 1, 2):
         ran = F.col("extract_run_id") == f"run_{number}"
         summary = daily.run_daily(
             spark,
@@ -477,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_grain": lambda spark, sf: quality.duplicate_grain(all_runs_unified(spark, sf)),
     "dq_clicks_not_exceeding_impressions": dq_report("clicks_not_exceeding_impressions"),
     "dq_clicks_all_runs": dq_report("clicks_not_exceeding_impressions", all_runs_mart),
+    "dq_clicks_newest": dq_clicks_newest,
     "dq_ctr_not_exceeding_100_percent": dq_report("ctr_not_exceeding_100_percent"),
     "dq_kpi_calculations": dq_report("kpi_calculations"),
     "dq_no_negative_metrics": dq_report("no_negative_metrics"),

@@ -103,7 +103,7 @@ def test_the_report_lists_the_newest_violations(frame):
 
 
 def test_the_report_is_a_top_k_not_a_window(frame):
-    got = quality.violations(mart_of(frame, {}), quality.mart_test("no_negative_metrics"))
+    got = quality.violations(mart_of(frame, {}), quality.mart_test("no_negative_metrics"), 1000)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "Window" not in plan
 

@@ -42,12 +42,28 @@ def test_append_creates_then_adds(spark, frame, target):
     assert kept(spark, target) == [(day(1), "a", 1), (day(1), "a", 3), (day(2), "a", 2)]
 
 
-def test_empty_batch_writes_nothing(spark, frame, target):
-    empty = raw(frame, (1, "a", 1, 1)).where("false")
-    assert writes.append_raw(empty, target) == 0
-    assert writes.replace_partitions(empty, target) == 0
-    if "/" not in target:
-        assert not spark.catalog.tableExists(target)
+def test_empty_batch_changes_no_rows(spark, frame, target):
+    some = raw(frame, (1, "a", 1, 1))
+    assert writes.append_raw(some.where("false"), target) == 0
+    assert writes.append_raw(some, target) == 1
+    assert writes.append_raw(some.where("false"), target) == 0
+    assert writes.replace_partitions(some.where("false"), target) == 0
+    assert kept(spark, target) == [(day(1), "a", 1)]
+
+
+@pytest.mark.parametrize("write", [writes.append_raw, writes.replace_partitions])
+def test_a_write_computes_its_input_once(spark, frame, target, write):
+    writes.append_raw(raw(frame, (1, "a", 1, 1)), target)
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    some = raw(frame, (2, "b", 2, 1), (3, "c", 3, 1))
+    assert write(some.mapInArrow(count, some.schema), target) == 2
+    assert computed.value == 2
 
 
 def test_replacing_days_leaves_other_days(spark, frame, target):
@@ -64,22 +80,25 @@ def test_restated_days_replace_the_stored_ones(spark, frame, target):
     assert kept(spark, target) == [(day(1), "a", 1), (day(9), "a", 7), (day(9), "b", 3)]
 
 
-def test_a_repeated_run_replaces_its_own_rows(spark, frame, folder):
-    target = folder("runs")
-    writes.replace_partitions(raw(frame, (1, "a", 1, 1)), target, writes.RUN_LAYOUT)
+def test_a_repeated_run_replaces_its_own_rows(spark, frame, target):
+    assert writes.replace_run(raw(frame, (1, "a", 1, 1), (3, "a", 1, 1)), "r1", target) == 2
     for _ in range(2):
-        writes.replace_partitions(raw(frame, (1, "a", 2, 2)), target, writes.RUN_LAYOUT)
-    assert kept(spark, target) == [(day(1), "a", 1), (day(1), "a", 2)]
+        assert writes.replace_run(raw(frame, (1, "a", 2, 2)), "r2", target) == 2
+    assert kept(spark, target) == [(day(1), "a", 1), (day(1), "a", 2), (day(3), "a", 1)]
+    assert writes.compact_days(spark, target) == 3
+    assert writes.dedup_days(spark, target) == 1
+    assert writes.append_raw(raw(frame, (1, "b", 5, 3)), target) == 1
+    assert kept(spark, target) == [(day(1), "a", 2), (day(1), "b", 5), (day(3), "a", 1)]
 
 
 def test_dedup_rewrites_only_days_with_repeats(spark, frame, target, folder):
     writes.append_raw(raw(frame, (1, "a", 1, 1), (2, "a", 1, 1), (2, "a", 5, 3), (2, "a", 4, 2)), target)
     copy = folder("copy")
-    assert writes.dedup_days(spark, target, copy) == 2
+    assert writes.dedup_days(spark, target, copy) == 1
     assert kept(spark, target) == [(day(1), "a", 1), (day(2), "a", 5)]
     assert values(scan(spark, copy), "date") == [(day(2),)]
     again = folder("copy")
-    assert writes.dedup_days(spark, target, again) == 2
+    assert writes.dedup_days(spark, target, again) == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         scan(spark, again)
 
@@ -181,6 +200,80 @@ def test_a_swap_interrupted_between_renames_is_undone(spark, frame, folder):
     assert kept(spark, table) == [(day(1), "a", 1)]
 
 
+@pytest.mark.parametrize("external", [False, True])
+def test_a_swap_that_crashes_anywhere_keeps_old_or_new_rows(spark, frame, folder, monkeypatch, external):
+    """A crash after each statement and each deletion, then recovery."""
+    old, new = [(day(1), "a", 1), (day(2), "b", 2)], [(day(3), "c", 3)]
+    at, ended = 0, False
+    run_sql, delete = type(spark).sql, writes._delete
+    while not ended:
+        name = f"s_{uuid.uuid4().hex[:8]}"
+        catalog.create_namespaces(spark, {"raw": name}, folder("schemas"))
+        table = f"{name}.t"
+        first = raw(frame, (1, "a", 1, 1), (2, "b", 2, 1))
+        if external:
+            writes.swap_in(first, table, ("date",))
+        else:
+            writes.append_raw(first, table)
+        left = [at]
+
+        def counted(done, *args, **kwargs):
+            result = done(*args, **kwargs)
+            left[0] -= 1
+            if left[0] < 0:
+                raise ConnectionError("driver lost")
+            return result
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", lambda *a, **k: counted(run_sql, *a, **k))
+            patch.setattr(writes, "_delete", lambda *a, **k: counted(delete, *a, **k))
+            try:
+                writes.swap_in(raw(frame, (3, "c", 3, 1)), table, ("date",))
+                ended = True
+            except ConnectionError:
+                pass
+        writes.recover_table(spark, table)
+        assert kept(spark, table) in ([new] if ended else [old, new]), at
+        assert not spark.catalog.tableExists(f"{table}__previous")
+        at += 1
+    assert at > 5
+
+
+def test_an_incomplete_table_never_costs_the_old_one(spark, frame, folder):
+    name = f"s_{uuid.uuid4().hex[:8]}"
+    catalog.create_namespaces(spark, {"raw": name}, folder("schemas"))
+    table = f"{name}.t"
+    writes.append_raw(raw(frame, (1, "a", 1, 1)), f"{table}__previous")
+    writes.append_raw(raw(frame, (1, "a", 1, 1)).where("false"), table)
+    with pytest.raises(RuntimeError, match="__previous"):
+        writes.recover_table(spark, table)
+    assert kept(spark, f"{table}__previous") == [(day(1), "a", 1)]
+
+
+def test_a_folder_of_the_mart_survives_a_failed_build(spark, folder, mart_rows):
+    target = folder("mart")
+    writes.write_mart(mart_rows(20), target)
+    failing = mart_rows(5).withColumn("clicks", F.raise_error(F.lit("boom")).cast("long"))
+    with pytest.raises(Exception, match="boom"):
+        writes.write_mart(failing, target)
+    assert scan(spark, target).count() == 20
+    path, files = writes._path(spark, target)
+    files.rename(path, writes._path(spark, f"{target}__previous")[0])
+    writes.recover_folder(spark, target)
+    assert scan(spark, target).count() == 20
+
+
+def test_a_run_without_a_source(spark, frame, folder):
+    names = {layer: f"{n}_{uuid.uuid4().hex[:8]}" for layer, n in catalog.LAYERS.items()}
+    catalog.create_namespaces(spark, names, folder("schemas"))
+    layers = daily.Layers(names)
+    google = frame([(day(1), "g", "G", 100, 10, 2, 5.0)], S.GOOGLE_RECORD)
+    meta = frame([], S.META_RECORD)
+    row = daily.run_daily(spark, google, meta, layers, "2024-01-02", "r1", "2024-01-02T00:00:00Z").first()
+    assert (row["status"], row["google_ads_extracted_count"], row["meta_ads_extracted_count"]) == ("success", 1, 0)
+    assert spark.table(layers.mart).count() == 1
+
+
 def test_namespaces(spark, folder):
     names = {layer: f"{n}_{uuid.uuid4().hex[:8]}" for layer, n in catalog.LAYERS.items()}
     assert catalog.missing_namespaces(spark, names).count() == 4
