@@ -303,13 +303,15 @@ LIMITS = ", ".join(
     for _, table, low, high, change, text in S.VOLUME_THRESHOLDS
 )
 
-VOLUME = f"""
+def volume_of(limits: str, failed: str = "") -> str:
+    """``failed`` may add rows of tables that couldn't be read."""
+    return f"""
 measured AS (
   SELECT l.*, today_count AS today, yesterday_count AS yesterday,
          CASE WHEN yesterday_count > 0
            THEN CAST(abs(today_count - yesterday_count) AS DOUBLE) / yesterday_count * 100
            ELSE 0.0 END AS change
-  FROM (VALUES {LIMITS}) AS l(table_name, low, high, allowed, description)
+  FROM (VALUES {limits}) AS l(table_name, low, high, allowed, description)
   JOIN ({day_counts(AS_OF)}) USING (table_name)
 ),
 volume AS (
@@ -337,7 +339,7 @@ volume AS (
              printf('%s: Exceeds maximum threshold (%d/%d)', table_name, today, high) END)
            AS errors,
          CAST(NULL AS VARCHAR) AS error
-  FROM measured
+  FROM measured {failed}
 ),
 volume_totals AS (
   SELECT count(*) AS total_tables,
@@ -351,6 +353,9 @@ volume_totals AS (
 )"""
 
 
+VOLUME = volume_of(LIMITS)
+
+
 def run_row(run: str, start: str, end: str, seconds: int, google: str, meta: str) -> str:
     return f"""SELECT '{run}' AS run_id, 'campaign_daily' AS dag_id, {AS_OF} AS run_date,
        TIMESTAMP '{start}' AS execution_date, TIMESTAMP '{start}' AS start_time,
@@ -388,6 +393,50 @@ DAILY = (
     f"{TALLY},{VOLUME}"
 )
 
+SPOILT = f"""{ALL_RUNS},
+spoilt AS (
+  SELECT * REPLACE (
+    CASE WHEN clicks % 7 <> 0 THEN campaign_id END AS campaign_id,
+    CASE WHEN clicks % 11 = 0 THEN 'other_ads' ELSE platform END AS platform,
+    CASE WHEN clicks % 13 = 0 THEN -spend ELSE spend END AS spend,
+    CASE WHEN impressions % 5 = 0 THEN ctr + 0.01 WHEN impressions % 3 = 0 THEN ctr + 0.00005
+      ELSE ctr END AS ctr)
+  FROM mart
+)"""
+
+
+#: (table, least, most, allowed change in percent): broken low, high, by change, by both, and not.
+BROKEN_LIMITS = (
+    (S.RAW_GOOGLE_TABLE, 1_000_000_000, 2_000_000_000, 100_000),
+    (S.RAW_META_TABLE, 0, 0, 100_000),
+    (S.STG_GOOGLE_TABLE, 0, 1_000_000_000, 0),
+    (S.STG_META_TABLE, 1_000_000_000, 2_000_000_000, 0),
+    (S.MART_TABLE, 0, 1_000_000_000, 100_000),
+    ("absent_table", 0, 1, 50),
+)
+
+
+def spoilt_suite() -> str:
+    """The declared checks of the mart, over the spoilt one."""
+    counts = "\nUNION ALL ".join(
+        part
+        for part in suite_counts().split("\nUNION ALL ")
+        if f"'{S.MART_TABLE}' AS table_name" in part
+    )
+    return suite(counts.replace("FROM mart", "FROM spoilt"))
+
+
+BROKEN = volume_of(
+    ", ".join(
+        f"('{table}', {low}, {high}, {change}, 'seeded')"
+        for table, low, high, change in BROKEN_LIMITS[:-1]
+    ),
+    """UNION ALL SELECT 'absent_table', 'seeded', NULL, NULL, NULL, 'ERROR', 'ERROR', '', '',
+    'TABLE_OR_VIEW_NOT_FOUND', 'TABLE_OR_VIEW_NOT_FOUND'""",
+)
+
+BY_ACCOUNT = f"date {IN_RANGE}"
+
 COMPARISON = f"""SELECT platform, count(DISTINCT campaign_id) AS nb_campagnes,
        CAST(sum(impressions) AS BIGINT) AS total_impressions,
        {mean("ctr")} AS ctr_moyen, {total("spend")} AS depense_totale"""
@@ -629,6 +678,66 @@ FROM (
   LEFT JOIN (SELECT source, CAST(ingested_at AS DATE) AS day, count(*) AS n
              FROM mart GROUP BY 1, 2) USING (source, day)
 )""",
+    ),
+    # broken rules
+    "dq_spoilt_suite": with_(SPOILT, spoilt_suite()),
+    "dq_spoilt_kpis": with_(
+        SPOILT, all_violations("kpi_calculations", "").replace("FROM mart", "FROM spoilt")
+    ),
+    "dq_spoilt_negatives": with_(
+        SPOILT,
+        all_violations(
+            "no_negative_metrics", ", impressions, clicks, spend, conversions"
+        ).replace("FROM mart", "FROM spoilt"),
+    ),
+    "dq_spoilt_range": with_(SPOILT, accepted_range().replace("FROM mart", "FROM spoilt")),
+    "volume_broken": with_(f"{MODELS},{BROKEN}", "SELECT * FROM volume"),
+    "volume_broken_summary": with_(f"{MODELS},{BROKEN}", "SELECT * FROM volume_totals"),
+    "volume_broken_report": with_(
+        f"{MODELS},{BROKEN}",
+        """SELECT 'summary' AS section, CAST(NULL AS VARCHAR) AS table_name,
+       overall_status AS status,
+       printf('%d PASS, %d WARN, %d FAIL, %d ERROR', passed, warned, failed, errored) AS result,
+       '' AS issues FROM volume_totals
+UNION ALL
+SELECT 'table', table_name, status, CASE WHEN error IS NULL THEN
+       'Today: ' || today_count || ' | Yesterday: ' || yesterday_count
+         || ' | Variance: ' || CAST(variance_percent AS VARCHAR) || '%'
+       ELSE 'Error: ' || error END, issues FROM volume
+UNION ALL SELECT 'warning', table_name, NULL, warnings, '' FROM volume WHERE warnings <> ''
+UNION ALL SELECT 'error', table_name, NULL, errors, '' FROM volume WHERE errors <> ''""",
+    ),
+    "meta_flatten_repeated": with_(
+        FLAT_META,
+        """SELECT * REPLACE (10 * likes AS likes, 10 * comments AS comments, 10 * shares AS shares,
+  10 * video_views AS video_views) FROM flat_meta""",
+    ),
+    "typed_lenient": with_(
+        RAW_GOOGLE,
+        f"""SELECT {GOOGLE_RECORD} FROM (SELECT * REPLACE (
+  CASE WHEN impressions % 7 <> 0 THEN clicks END AS clicks) FROM raw_google)""",
+    ),
+    "google_array_files": with_(
+        RAW_GOOGLE,
+        f"""SELECT date, campaign_id, campaign_name, impressions, clicks, cost_usd,
+  clicks % 9 AS conversions FROM raw_google WHERE {BY_ACCOUNT}""",
+    ),
+    "meta_array_files": with_(
+        RAW_META,
+        f"""SELECT date, CAST(campaign_id AS VARCHAR) AS campaign_id, campaign_name, impressions,
+  clicks, spend_usd, clicks % 9 AS conversions FROM raw_meta WHERE {BY_ACCOUNT}""",
+    ),
+    "stream_and_batch": with_(
+        FLAT_META,
+        f"""SELECT * EXCLUDE (conversions) FROM (SELECT {META_RECORD},
+  CASE WHEN date >= DATE '2024-01-08' THEN {INGESTED_AT} + INTERVAL 1 DAY ELSE {INGESTED_AT} END
+    AS ingested_at, 'meta_ads' AS source FROM flat_meta)""",
+    ),
+    "catalog_inventory": with_(
+        RAW_GOOGLE,
+        f"""SELECT '{S.RAW_GOOGLE_TABLE}' AS table_name, count(*) AS row_count,
+  false AS is_empty, true AS has_size FROM raw_google
+UNION ALL SELECT '{S.RAW_META_TABLE}', 0, true, true""",
     ),
     # run log and catalog
     "run_summary": with_(

@@ -25,12 +25,14 @@ from adloom.sources import adapters
 from adloom.sources.insights import flatten_insights
 from adloom.sources.tables import scan, scan_as
 from adloom.streaming import ingest
+from checks.oracle import BROKEN_LIMITS
 
 AS_OF = adapters.LAST_DAY
 CREATED_AT = "2024-01-31T00:00:00+00:00"
 RANGE = ("2024-01-08", "2024-01-21")
 ALL_DAYS = (adapters.FIRST_DAY, adapters.LAST_DAY)
 INGESTED_AT = "2024-02-01T06:00:00+00:00"
+LATER = "2024-02-02T06:00:00+00:00"
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -359,6 +361,148 @@ def volume_history(spark: SparkSession, sf: str) -> DataFrame:
     return volume.volume_history(the_mart(spark, sf), *ALL_DAYS)
 
 
+# The same operators where rules are broken: faults derived from the given tables
+
+
+def spoilt_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart of all runs with NULL keys, an unknown platform, negative spend, and click
+    rates shifted beyond the tolerance or just within it."""
+    every = lambda n, column: F.col(column) % n == 0
+    return all_runs_mart(spark, sf).withColumns(
+        {
+            "campaign_id": F.when(~every(7, "clicks"), F.col("campaign_id")),
+            "platform": F.when(every(11, "clicks"), "other_ads").otherwise(F.col("platform")),
+            "spend": F.when(every(13, "clicks"), -F.col("spend")).otherwise(F.col("spend")),
+            "ctr": F.when(every(5, "impressions"), F.col("ctr") + 0.01)
+            .when(every(3, "impressions"), F.col("ctr") + 0.00005)
+            .otherwise(F.col("ctr")),
+        }
+    )
+
+
+def dq_spoilt_suite(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.run_suite({S.MART_TABLE: spoilt_mart(spark, sf)})
+
+
+def over_spoilt(query: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf: query(spoilt_mart(spark, sf))
+
+
+def broken_volumes(spark: SparkSession, sf: str) -> DataFrame:
+    limits = spark.createDataFrame(
+        [(*row, "seeded") for row in BROKEN_LIMITS],
+        "table_name string, min_daily_records bigint, max_daily_records bigint,"
+        " max_variance_percent bigint, description string",
+    )
+    tables = {**watched(spark, sf), "absent_table": lambda: spark.table("absent_table")}
+    checks = volume.volume_checks(spark, tables, AS_OF, limits)
+    # Of the absent table's message, its code.
+    code = F.regexp_extract("error", r"\[(\w+)", 1)
+    told = F.col("error").isNotNull()
+    return checks.withColumns(
+        {
+            "errors": F.when(told, F.array(code)).otherwise(F.col("errors")),
+            "error": F.when(told, code),
+        }
+    )
+
+
+def volume_broken_report(spark: SparkSession, sf: str) -> DataFrame:
+    return volume.report(broken_volumes(spark, sf))
+
+
+def meta_flatten_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Each action twice, the second time with ten times its value, and an entry that is NULL."""
+    tenfold = F.transform(
+        "actions",
+        lambda a: F.struct(
+            a.getField("action_type").alias("action_type"),
+            F.concat(a.getField("value"), F.lit("0")).alias("value"),
+        ),
+    )
+    nothing = F.array(F.lit(None).cast("struct<action_type:string,value:string>"))
+    payload = adapters.meta_insights(spark, sf)
+    return flatten_insights(payload.withColumn("actions", F.concat("actions", tenfold, nothing)))
+
+
+def typed_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    """Text of which some is malformed; that reads as NULL."""
+    google = adapters.raw_google(spark, sf)
+    as_text = google.select(*(F.col(c).cast("string").alias(c) for c in S.GOOGLE_RECORD.names))
+    spoilt = F.when(F.col("impressions").cast("bigint") % 7 == 0, "n/a").otherwise(F.col("clicks"))
+    return staging.typed(as_text.withColumn("clicks", spoilt), S.GOOGLE_RECORD, lenient=True)
+
+
+def _array_files(spark: SparkSession, records: DataFrame, purpose: str) -> str:
+    """One file for each day, holding one JSON array, as the samples do."""
+    folder = shared_folder(spark, purpose)
+    record = F.struct(*records.columns)
+    arrays = records.groupBy("date").agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.repartition("date").write.partitionBy("date").text(folder)
+    return folder
+
+
+def _by_account(raw: DataFrame, spend: str) -> DataFrame:
+    return raw.select(
+        "date",
+        F.concat(F.lit("acc_"), "extract_run_id").alias("account_id"),
+        F.col("campaign_id").cast("string").alias("campaign_id"),
+        "campaign_name",
+        "impressions",
+        "clicks",
+        F.col(spend).alias("spend"),
+        (F.col("clicks") % 9).alias("conversions"),
+    )
+
+
+def google_array_files(spark: SparkSession, sf: str) -> DataFrame:
+    records = _by_account(adapters.raw_google(spark, sf), "cost_usd")
+    folder = _array_files(spark, records, "google-arrays")
+    return sources.GOOGLE_SAMPLE.read(spark, folder, *RANGE)
+
+
+def meta_array_files(spark: SparkSession, sf: str) -> DataFrame:
+    records = _by_account(adapters.raw_meta(spark, sf), "spend_usd")
+    folder = _array_files(spark, records, "meta-arrays")
+    return sources.META_SAMPLE.read(spark, folder, *RANGE)
+
+
+def stream_and_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream, append, deduplicate, stream again: one table, one layout, newest rows win."""
+    payload = adapters.meta_insights(spark, sf)
+    landing, checkpoint = shared_folder(spark, "mixed-landing"), shared_folder(spark, "mixed-checkpoint")
+    table = private_layers(spark).raw_meta
+
+    def stream(part: DataFrame) -> None:
+        part.hint("rebalance", "date_start").write.mode("append").partitionBy("date_start").json(landing)
+        ingest.ingest_landed(
+            spark, sources.META_NESTED, landing, table, checkpoint, "meta",
+            ingested_at=lambda batch: INGESTED_AT,
+        )
+
+    first = F.col("date_start") < RANGE[1]
+    stream(payload.where(first))
+    batch = flatten_insights(payload.where(F.col("date_start") >= RANGE[0]))
+    writes.append_raw(metadata.stamp(batch, S.META, "batch", LATER), table)
+    writes.dedup_days(spark, table)
+    stream(payload.where(~first))
+    writes.dedup_days(spark, table)
+    writes.compact_days(spark, table, F.col("date") < RANGE[0])
+    return scan_as(spark, table, S.RAW_META).drop("extract_run_id", "conversions")
+
+
+def catalog_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalog tables with rows, size and flag; the time of creation is left out."""
+    layers = private_layers(spark)
+    google, meta = raw(spark, sf)
+    writes.append_raw(google, layers.raw_google)
+    writes.append_raw(meta.where("false"), layers.raw_meta)
+    found = catalog.table_inventory(spark, layers.schemas["raw"])
+    return found.select(
+        "table_name", "row_count", "is_empty", (F.col("size_mb") >= 0).alias("has_size")
+    )
+
+
 # Run log and catalog
 
 
@@ -498,6 +642,24 @@ QUERIES: dict[str, Query] = {
     "volume_summary": lambda spark, sf: volume.summarize(volume_result(spark, sf)),
     "volume_report": lambda spark, sf: volume.report(volume_result(spark, sf)),
     "volume_history": volume_history,
+    # broken rules
+    "dq_spoilt_suite": dq_spoilt_suite,
+    "dq_spoilt_kpis": over_spoilt(
+        lambda m: quality.violations(m, quality.mart_test("kpi_calculations"))
+    ),
+    "dq_spoilt_negatives": over_spoilt(
+        lambda m: quality.violations(m, quality.mart_test("no_negative_metrics"))
+    ),
+    "dq_spoilt_range": over_spoilt(quality.accepted_range),
+    "volume_broken": lambda spark, sf: joined_texts(broken_volumes(spark, sf)),
+    "volume_broken_report": volume_broken_report,
+    "volume_broken_summary": lambda spark, sf: volume.summarize(broken_volumes(spark, sf)),
+    "meta_flatten_repeated": meta_flatten_repeated,
+    "typed_lenient": typed_lenient,
+    "google_array_files": google_array_files,
+    "meta_array_files": meta_array_files,
+    "stream_and_batch": stream_and_batch,
+    "catalog_inventory": catalog_inventory,
     # run log and catalog
     "run_summary": run_summary,
     "recent_runs": recent_runs,

@@ -42,3 +42,15 @@ def test_profile_of_a_batch(frame):
     assert values(got) == [(3, day(1), day(3), 2, 3.3)]
     empty = profile.ingestion_profile(batch.where(F.lit(False)), "spend_usd").first()
     assert tuple(empty) == (0, None, None, 0, 0.0)
+
+
+def test_gaps_of_a_dimension(spark, frame):
+    raw = frame(
+        [(dt.date(2024, 1, 1), "a"), (dt.date(2024, 1, 1), "a"), (dt.date(2024, 1, 3), "a"), (dt.date(2024, 1, 2), None)],
+        "date date, campaign_id string",
+    )
+    campaigns = frame([("a",), ("b",), ("b",), (None,)], "campaign_id string")
+    got = calendar.missing_from_dimension(campaigns, raw, "2024-01-01", "2024-01-03")
+    assert [(c, d.day) for d, c in values(got, "date", "campaign_id")] == [("b", 1), ("a", 2), ("b", 2), ("b", 3)]
+    assert "NULL" not in str(values(calendar.missing_campaign_days(raw, "2024-01-01", "2024-01-03")))
+    assert values(calendar.missing_campaign_days(raw, "2024-01-01", "2024-01-03"), "campaign_id") == [("a",)]

@@ -1,10 +1,13 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from adloom.functions import conversion, days
+from adloom.functions.aggregates import exact_sum
+from adloom.functions.rounding import round_binary
 
 
 def one(spark, column):
@@ -61,3 +64,20 @@ def test_present_only_keeps_order(spark):
 def test_sizes_and_millis(spark):
     assert one(spark, conversion.to_megabytes(F.lit(1572864))) == 1.5
     assert one(spark, days.iso_text(conversion.from_millis(F.lit(1000)))) == "1970-01-01T00:00:01.000000Z"
+
+
+def test_binary_rounding_is_that_of_the_double(spark):
+    """Ties of the decimal text that are none of the double, and true ties, which go to even."""
+    rng = random.Random(5)
+    values = [0.125, 0.375, 2.675, 0.005, 0.015, 1.005, 8.025, 132.35, 0.0049999, 1e-9, 0.0, 0.25, 1e9 + 0.125]
+    values += [abs(rng.randint(0, 9000) - n) / n * 100 for n in (rng.randint(1, 9000) for _ in range(5000))]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = frame.select("v", round_binary(F.col("v"), 2), round_binary(F.col("v"), 1)).collect()
+    assert all(two == round(v, 2) and f"{one:.1f}" == f"{v:.1f}" for v, two, one in rows)
+
+
+def test_sums_keep_small_amounts(spark):
+    frame = spark.range(1_000_000).select(F.lit(0.0000004).alias("v"))
+    assert frame.agg(exact_sum("v")).first()[0] == 0.4
+    frame = spark.createDataFrame([(0.1,), (0.2,), (-0.3,), (1e15,), (None,)], "v double")
+    assert frame.agg(exact_sum("v")).first()[0] == 1e15
