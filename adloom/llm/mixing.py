@@ -31,6 +31,8 @@ SEED = "mix"
 GOLDEN, POINTS = 1327217885, 1 << 31
 #: Documents (or slots) that are ordered in one task, about: running sums go by parts of this size.
 PART = 20_000
+#: The same where whole rows, with their texts, move.
+PART_OF_TEXTS = 1_000
 #: More sources than this are joined and not broadcast.
 BROADCAST_SOURCES = 100_000
 
@@ -93,12 +95,12 @@ def _ahead(parts: DataFrame, n: str) -> DataFrame:
     return parts.select("label", "part", F.coalesce(F.sum(n).over(before), F.lit(0)).alias("ahead"))
 
 
-def laid_out(sizes: DataFrame, totals: DataFrame) -> DataFrame:
+def laid_out(sizes: DataFrame, totals: DataFrame, part: int = PART) -> DataFrame:
     """Adds start (the words of the source before the document, in shuffled order) and the
     source's figures. A source of any size is summed in parts, by the leading digits of the key.
     """
     lead = F.conv(F.substring("__key", 1, 8), 16, 10).cast("long")
-    parts = F.ceil(F.col("source_docs") / PART)
+    parts = F.ceil(F.col("source_docs") / part)
     split = (
         sizes.join(totals.withColumnRenamed("label", "__label"), "__label")
         .withColumn("__part", F.floor(lead * parts / F.lit(1 << 32)))
@@ -159,14 +161,16 @@ def schedule(totals: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
 
 
-def _planned(documents: DataFrame, weights: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+def _planned(
+    documents: DataFrame, weights: tuple[int, ...], part: int = PART
+) -> tuple[DataFrame, DataFrame]:
     """The totals of the sources (also limit, the words to take) and the documents laid out."""
     sizes = sized(documents)
     totals = staged(
         targets(sizes, weights).withColumn("limit", F.round("target").cast("long")), "mix-sources"
     )
     few = totals.count() <= BROADCAST_SOURCES
-    return totals, laid_out(sizes, F.broadcast(totals) if few else totals)
+    return totals, laid_out(sizes, F.broadcast(totals) if few else totals, part)
 
 
 def _runs() -> Column:
@@ -226,7 +230,7 @@ def repeated(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFr
     times each; the columns stay as they are.
     """
     columns = documents.columns
-    _, laid = _planned(documents, weights)
+    _, laid = _planned(documents, weights, PART_OF_TEXTS)
     return (
         laid.where((_runs() > 0) & (F.col("__size") > 0))
         .withColumn("__run", F.explode(F.sequence(F.lit(1).cast("long"), _runs())))
