@@ -378,15 +378,22 @@ FROM tally t CROSS JOIN volume_totals v"""
 # The runs of the daily chain stamp their rows themselves, so that all fall on the
 # reported day; the newest run wins.
 
-def restamped(name: str, source: str) -> str:
+def restamped(name: str, source: str, where: str = "TRUE") -> str:
     return f"""
 {name} AS (
   SELECT * REPLACE (
     {AS_OF} + to_hours(CAST(right(extract_run_id, 1) AS INTEGER)) AS ingested_at)
-  FROM {source}
+  FROM {source} WHERE {where}
 )"""
 
 
+SINCE = "extract_run_id = 'run_0' OR date >= DATE '2024-01-08'"
+DAILY_SINCE = (
+    f"{RAW},{restamped('ran_google', 'raw_google', SINCE)},"
+    f"{restamped('ran_meta', 'raw_meta', SINCE)},"
+    f"{newest('google', 'ran_google')},{newest('meta', 'ran_meta')},{models('google', 'meta')}"
+)
+
 DAILY = (
     f"{RAW},{restamped('ran_google', 'raw_google')},{restamped('ran_meta', 'raw_meta')},"
     f"{newest('google', 'ran_google')},{newest('meta', 'ran_meta')},{models('google', 'meta')},"
@@ -766,6 +773,8 @@ FROM unified GROUP BY ingested_at ORDER BY ingested_at DESC LIMIT 10""",
             "SELECT count(*) FROM raw_meta WHERE extract_run_id = 'run_2'",
         ),
     ),
+    "daily_mart_since": with_(DAILY_SINCE, """SELECT * EXCLUDE (mart_created_at)
+  REPLACE (replace(extract_run_id, 'run_', 'daily_') AS extract_run_id) FROM mart"""),
     "table_inventory": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) = 0 AS is_empty FROM {t}"
         for t in TABLES

@@ -551,26 +551,43 @@ def recent_runs(spark: SparkSession, sf: str) -> DataFrame:
     return runlog.recent_runs(log)
 
 
+def _daily(
+    spark: SparkSession, layers: daily.Layers, number: int, rows: tuple[DataFrame, DataFrame], since=None
+) -> DataFrame:
+    ran = F.col("extract_run_id") == f"run_{number}"
+    google, meta = (r.where(ran).drop(*S.METADATA_COLUMNS) for r in rows)
+    return daily.run_daily(
+        spark,
+        google,
+        meta,
+        layers,
+        AS_OF,
+        run_id=f"daily_{number}",
+        ingested_at=f"{adapters.LAST_DAY}T0{number}:00:00+00:00",
+        started_at=f"{adapters.LAST_DAY}T0{number}:00:00+00:00",
+        ended_at=f"{adapters.LAST_DAY}T0{number}:01:30+00:00",
+        since=since,
+    )
+
+
 def daily_run(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs of the whole chain over stored tables; the last one's log row."""
-    layers = private_layers(spark)
-    google, meta = raw(spark, sf)
+    layers, rows = private_layers(spark), raw(spark, sf)
     for number in (0, 1, 2):
-        ran = F.col("extract_run_id") == f"run_{number}"
-        summary = daily.run_daily(
-            spark,
-            google.where(ran).drop(*S.METADATA_COLUMNS),
-            meta.where(ran).drop(*S.METADATA_COLUMNS),
-            layers,
-            AS_OF,
-            run_id=f"daily_{number}",
-            ingested_at=f"{adapters.LAST_DAY}T0{number}:00:00+00:00",
-            started_at=f"{adapters.LAST_DAY}T0{number}:00:00+00:00",
-            ended_at=f"{adapters.LAST_DAY}T0{number}:01:30+00:00",
-        )
+        summary = _daily(spark, layers, number, rows)
     return summary
 
 
+def daily_mart_since(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart after a full run and two that only cover the days since."""
+    layers, rows = private_layers(spark), raw(spark, sf)
+    _daily(spark, layers, 0, rows)
+    recent = tuple(r.where(F.col("date") >= RANGE[0]) for r in rows)
+    for number in (1, 2):
+        _daily(spark, layers, number, recent, since=RANGE[0])
+    return scan_as(spark, layers.mart, S.MART).drop("mart_created_at")
+
+
 def table_inventory(spark: SparkSession, sf: str) -> DataFrame:
     inventories = (
         catalog.file_inventory(name, scan(spark, f"{sf}/{name}.parquet")) for name in TABLES
@@ -664,6 +681,7 @@ QUERIES: dict[str, Query] = {
     "run_summary": run_summary,
     "recent_runs": recent_runs,
     "daily_run": daily_run,
+    "daily_mart_since": daily_mart_since,
     "table_inventory": table_inventory,
 }
 
