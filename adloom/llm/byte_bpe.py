@@ -201,9 +201,10 @@ def decode(encoded: DataFrame, path: str, kept: tuple[str, ...] = ("doc_id",)) -
         table = {r: t for t, r in ranks.items()}
         for batch in batches:
             lists = batch.column("ids")
+            ids, at = lists.values.to_numpy(), lists.offsets.to_numpy()
             decoded = [
-                b"".join(map(table.__getitem__, lists[i].values.to_pylist() if lists[i].is_valid else ()))
-                for i in range(batch.num_rows)
+                b"".join(map(table.__getitem__, ids[a:b].tolist()))
+                for a, b in zip(at, at[1:], strict=False)
             ]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), lists, pa.array(decoded, pa.binary())],
