@@ -19,6 +19,7 @@ itself; other columns are passed over.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -68,11 +69,9 @@ def _training_words(documents: DataFrame) -> DataFrame:
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[str, dict[str, int]] = {}
+            counts: dict[str, Counter[str]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                own = counts.setdefault(lang, {})
-                for word in words_of(text.as_py()):
-                    own[word] = own.get(word, 0) + 1
+                counts.setdefault(lang, Counter()).update(words_of(text.as_py()))
             for lang, own in counts.items():
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -97,6 +96,7 @@ def train(documents: DataFrame, pieces: list[str]) -> Model:
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {p: i for i, p in enumerate(pieces)}
+        heads = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
         number = {lang: i for i, lang in enumerate(languages)}
         totals = np.zeros((len(languages), len(pieces)), np.int64)
         for batch in batches:
@@ -104,12 +104,13 @@ def train(documents: DataFrame, pieces: list[str]) -> Model:
             at, found, weight = [], [], []
             for lang, word, n in zip(langs, words, ns, strict=True):
                 word = START + word
-                ids = [
-                    known[s]
-                    for i in range(len(word))
-                    for j in range(i + 1, min(i + LONGEST, len(word)) + 1)
-                    if (s := word[i:j]) in known
-                ]
+                ids = []
+                for i in range(len(word)):
+                    j = i + 1
+                    while j <= len(word) and (part := word[i:j]) in heads:
+                        if part in known:
+                            ids.append(known[part])
+                        j += 1
                 found += ids
                 at += [number[lang]] * len(ids)
                 weight += [n] * len(ids)
@@ -129,33 +130,77 @@ def train(documents: DataFrame, pieces: list[str]) -> Model:
     return Model(pieces, languages, prior, np.vstack([smooth, extra]))
 
 
+class Numbers:
+    """Numbers of pieces for all short stretches of many words at once.
+
+    Stretches are hashed (64 bits) character by character, and looked up in a table of slots; the few
+    pieces whose slot is taken are in a second table without such clashes.
+    """
+
+    _step = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: list[str]):
+        self.unknown, self.none = len(pieces), len(pieces) + 1
+        hashes = np.array([self._hash(p) for p in pieces], np.uint64)
+        numbers = np.arange(len(pieces), dtype=np.int32)
+        self.tables = []
+        bits = 18
+        while len(hashes):
+            slot = self._slot(hashes, bits, len(self.tables))
+            _, first = np.unique(slot, return_index=True)
+            keys, values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, self.none, np.int32)
+            keys[slot[first]], values[slot[first]] = hashes[first], numbers[first]
+            self.tables.append((bits, keys, values))
+            hashes, numbers = np.delete(hashes, first), np.delete(numbers, first)
+
+    def _hash(self, piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * int(self._step) + ord(c)) % (1 << 64)
+        return h
+
+    def _slot(self, h: np.ndarray, bits: int, number: int) -> np.ndarray:
+        factor = np.uint64((0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)[number % 3])
+        return ((h ^ (h >> np.uint64(31))) * factor) >> np.uint64(64 - bits)
+
+    def of(self, words: list[str]) -> list[np.ndarray]:
+        """For each length, the numbers of the stretches of that length, by word and start."""
+        letters = np.array(words).view(np.uint32).reshape(len(words), -1).astype(np.uint64)
+        h, found = np.zeros_like(letters), []
+        for k in range(1, min(LONGEST, letters.shape[1]) + 1):
+            h = h[:, : letters.shape[1] - k + 1] * self._step + letters[:, k - 1 :]
+            ids = np.full(h.shape, self.none, np.int32)
+            for number, (bits, keys, values) in enumerate(self.tables):
+                slot = self._slot(h, bits, number)
+                ids = np.where(keys[slot] == h, values[slot], ids)
+            if k == 1:
+                ids[ids == self.none] = self.unknown
+            found.append(ids)
+        return found
+
+
 class Scorer:
     """Log probabilities of words in each language; one in each task."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.known = {p: i for i, p in enumerate(model.pieces)}
+        self.numbers = Numbers(model.pieces)
         self.row: dict[str, int] = {}
         self.scores = np.empty((0, len(model.languages)))
 
     def forward(self, words: list[str]) -> np.ndarray:
         """For words of one length: the sum over all segmentations, as logarithms."""
-        size, unknown, none = len(words[0]) + 1, len(self.known), len(self.known) + 1
-        get, found = self.known.get, []
-        spans = [(i, j) for j in range(1, size + 1) for i in range(max(0, j - LONGEST), j)]
-        for word in words:
-            word = START + word
-            found.append([get(word[i:j], none if j - i > 1 else unknown) for i, j in spans])
-        ids = np.array(found, np.int32)
+        size = len(words[0]) + 1
+        ids = self.numbers.of([START + w for w in words])
         alpha = np.zeros((size + 1, len(words), len(self.model.languages)))
         alpha[0] = 1.0
         scale = np.zeros((len(words), 1))
-        for column, (i, j) in enumerate(spans):
-            alpha[j] += alpha[i] * self.model.probability[ids[:, column]]
-            if column + 1 == len(spans) or spans[column + 1][1] > j:  # keep numbers from vanishing
-                top = alpha[j].max(axis=1, keepdims=True)
-                alpha[max(0, j - LONGEST) : j + 1] /= top
-                scale += np.log(top)
+        for j in range(1, size + 1):
+            for i in range(max(0, j - LONGEST), j):
+                alpha[j] += alpha[i] * self.model.probability[ids[j - i - 1][:, i]]
+            top = alpha[j].max(axis=1, keepdims=True)  # keep numbers from vanishing
+            alpha[max(0, j - LONGEST) : j + 1] /= top
+            scale += np.log(top)
         return np.log(np.maximum(alpha[size], 1e-300)) + scale
 
     def add(self, texts: list[list[str]]) -> None:
