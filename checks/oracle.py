@@ -773,6 +773,9 @@ FROM unified GROUP BY ingested_at ORDER BY ingested_at DESC LIMIT 10""",
             "SELECT count(*) FROM raw_meta WHERE extract_run_id = 'run_2'",
         ),
     ),
+    "event_times": """SELECT event_id, date_trunc('millisecond', ts) AS at,
+  strftime(date_trunc('millisecond', ts), '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS at_text,
+  round(event_id * 4096 / 1048576, 2) AS size_mb FROM events""",
     "daily_mart_since": with_(DAILY_SINCE, """SELECT * EXCLUDE (mart_created_at)
   REPLACE (replace(extract_run_id, 'run_', 'daily_') AS extract_run_id) FROM mart"""),
     "table_inventory": "\nUNION ALL ".join(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adloom import schemas as S
 from adloom import sources
-from adloom.functions import kpis
+from adloom.functions import conversion, days, kpis
 from adloom.operators import calendar, catalog, metadata, profile, quality, runlog, volume, writes
 from adloom.operators.latest import (
     latest_raw,
@@ -595,6 +595,18 @@ def table_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, inventories).drop("size_mb")
 
 
+def event_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Instants by way of milliseconds and as text, and sizes in megabytes, as inventories show them."""
+    events = scan(spark, f"{sf}/events.parquet")
+    at = conversion.from_millis(F.unix_millis(F.col("ts").cast("timestamp")))
+    return events.select(
+        "event_id",
+        at.alias("at"),
+        days.iso_text(at).alias("at_text"),
+        conversion.to_megabytes(F.col("event_id") * 4096).alias("size_mb"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "google_extract": google_extract,
@@ -683,6 +695,7 @@ QUERIES: dict[str, Query] = {
     "daily_run": daily_run,
     "daily_mart_since": daily_mart_since,
     "table_inventory": table_inventory,
+    "event_times": event_times,
 }
 
 
