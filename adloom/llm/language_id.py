@@ -4,6 +4,8 @@ The pieces of a fixed public vocabulary get a probability in each language: how
 the words of its training texts, wherever they occur, over all pieces. A word's probability in a
 language is the sum over all ways to cut it into pieces of the product of their probabilities,
 which the forward algorithm gives in one run over the word; a text's is the product over its words.
+All lower-case pieces of the vocabulary are used, and words of any length are whole: the run goes through
+long ones in stretches, and only as many of its last sums are kept as a piece is long.
 
 Words are runs of letters in lower case, with the vocabulary's mark of a word's start. A character
 that is no piece counts as an unlikely piece of its own. Counting goes over all training texts in
@@ -29,31 +31,35 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Longer pieces of the vocabulary are left out. Smoothing adds so many occurrences to each piece.
-LONGEST, SMOOTHING, UNKNOWN = 6, 0.5, 1e-8
-#: Distinct words a task remembers; words longer than this are cut.
-REMEMBERED, LONGEST_WORD = 300_000, 40
+#: Characters of the vocabulary's longest lower-case piece; a model goes by its own pieces.
+#: Smoothing adds so many occurrences to each piece.
+LONGEST, SMOOTHING, UNKNOWN = 16, 0.5, 1e-8
+#: Distinct words a task remembers, and characters of them.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 10_000_000
+#: Words up to so many characters are scored with those of their length, longer ones with some of about it.
+#: Characters scored at once, and characters of each word whose pieces are looked up together.
+SHORT, TOGETHER, STRETCH = 40, 200_000, 64
+#: Sums are scaled after so many characters, before they could vanish.
+SCALED = 4
 START = "▁"
 UNDETERMINED = "und"
 _word = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case runs of letters, cut into stretches if very long; none if there's no letter."""
+    """Lower-case runs of letters; none if there's no letter."""
     found = _word.findall((text or "").lower())
     if not any(c.isalpha() for w in found for c in w):  # numerals such as Ⅷ alone aren't letters
         return []
-    if len(max(found, key=len)) > LONGEST_WORD:
-        found = [w[i : i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
     return found
 
 
-def read_pieces(path: str, longest: int = LONGEST) -> list[str]:
+def read_pieces(path: str) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (
         model.is_control(i) or model.is_unknown(i) or model.is_byte(i)
     ))
-    return sorted({p for p in pieces if len(p) <= longest and p == p.lower()})
+    return sorted({p for p in pieces if p == p.lower()})
 
 
 @dataclass(frozen=True)
@@ -141,6 +147,7 @@ class Numbers:
 
     def __init__(self, pieces: list[str]):
         self.unknown, self.none = len(pieces), len(pieces) + 1
+        self.longest = max(map(len, pieces), default=1)
         hashes = np.array([self._hash(p) for p in pieces], np.uint64)
         numbers = np.arange(len(pieces), dtype=np.int32)
         self.tables = []
@@ -163,11 +170,14 @@ class Numbers:
         factor = np.uint64((0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)[number % 3])
         return ((h ^ (h >> np.uint64(31))) * factor) >> np.uint64(64 - bits)
 
-    def of(self, words: list[str]) -> list[np.ndarray]:
-        """For each length, the numbers of the stretches of that length, by word and start."""
-        letters = np.array(words).view(np.uint32).reshape(len(words), -1).astype(np.uint64)
+    def of(self, letters: np.ndarray) -> list[np.ndarray]:
+        """For each length, the numbers of the stretches of that length, by word and start.
+
+        Letters are code points by word and place, with noughts after a word's end.
+        """
+        letters = letters.astype(np.uint64)
         h, found = np.zeros_like(letters), []
-        for k in range(1, min(LONGEST, letters.shape[1]) + 1):
+        for k in range(1, min(self.longest, letters.shape[1]) + 1):
             h = h[:, : letters.shape[1] - k + 1] * self._step + letters[:, k - 1 :]
             ids = np.full(h.shape, self.none, np.int32)
             for number, (bits, keys, values) in enumerate(self.tables):
@@ -186,38 +196,57 @@ class Scorer:
         self.model = model
         self.numbers = Numbers(model.pieces)
         self.row: dict[str, int] = {}
+        self.chars = 0
         self.scores = np.empty((0, len(model.languages)))
 
     def forward(self, words: list[str]) -> np.ndarray:
-        """For words of one length: the sum over all segmentations, as logarithms."""
-        size = len(words[0]) + 1
-        ids = self.numbers.of([START + w for w in words])
-        alpha = np.zeros((size + 1, len(words), len(self.model.languages)))
+        """The sum over all segmentations of each word, as logarithms."""
+        longest, none, probability = self.numbers.longest, self.numbers.none, self.model.probability
+        letters = np.array([START + w for w in words]).view(np.uint32).reshape(len(words), -1)
+        sizes = np.array([len(w) + 1 for w in words])
+        ends, whole = set(sizes.tolist()), letters.shape[1]
+        # The sums up to a place, of the last places only: place j is at j modulo (longest + 1).
+        alpha = np.zeros((longest + 1, len(words), len(self.model.languages)))
         alpha[0] = 1.0
-        scale = np.zeros((len(words), 1))
-        for j in range(1, size + 1):
-            for i in range(max(0, j - LONGEST), j):
-                alpha[j] += alpha[i] * self.model.probability[ids[j - i - 1][:, i]]
-            top = alpha[j].max(axis=1, keepdims=True)  # keep numbers from vanishing
-            alpha[max(0, j - LONGEST) : j + 1] /= top
-            scale += np.log(top)
-        return np.log(np.maximum(alpha[size], 1e-300)) + scale
+        scale, found = np.zeros(alpha.shape[1:]), np.zeros(alpha.shape[1:])
+        for at in range(0, whole, STRETCH):
+            low = max(0, at - longest + 1)
+            ids = self.numbers.of(letters[:, low : at + STRETCH])
+            for j in range(at + 1, min(whole, at + STRETCH) + 1):
+                now = np.zeros(alpha.shape[1:])
+                for k in range(1, min(longest, j) + 1):
+                    piece, before = ids[k - 1][:, j - k - low], alpha[(j - k) % (longest + 1)]
+                    if k == 1:
+                        now += before * probability[piece]
+                    elif len(rows := np.flatnonzero(piece != none)):
+                        now[rows] += before[rows] * probability[piece[rows]]
+                alpha[j % (longest + 1)] = now
+                if j in ends:
+                    done = sizes == j
+                    found[done] = np.log(now[done]) + scale[done]
+                if j % SCALED == 0:  # each language by itself, so that none vanishes in a long word
+                    alpha /= now
+                    scale += np.log(now)
+        return found
 
     def add(self, texts: list[list[str]]) -> None:
         """Score the words of these texts that aren't known yet."""
         if not self.model.languages:
             return
         new = {w for words in texts for w in words if w not in self.row}
-        if len(self.row) + len(new) > REMEMBERED:
-            self.row, self.scores = {}, self.scores[:0]
+        self.chars += sum(map(len, new))
+        if len(self.row) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.row, self.scores, self.chars = {}, self.scores[:0], 0
             new = {w for words in texts for w in words}
         by_size: dict[int, list[str]] = {}
         for w in new:
-            by_size.setdefault(len(w), []).append(w)
+            by_size.setdefault(len(w) if len(w) <= SHORT else SHORT + len(w).bit_length(), []).append(w)
         made = [self.scores]
         for words in by_size.values():
-            for at in range(0, len(words), 5000):
-                part = words[at : at + 5000]
+            words.sort(key=len)
+            step = max(1, min(5000, TOGETHER // len(words[-1])))
+            for at in range(0, len(words), step):
+                part = words[at : at + step]
                 self.row.update(zip(part, range(len(self.row), len(self.row) + len(part)), strict=True))
                 made.append(self.forward(part))
         self.scores = np.concatenate(made)

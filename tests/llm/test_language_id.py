@@ -69,3 +69,32 @@ def test_held_out_accuracy(spark):
     held = [r for r in rows if r.held_out and truth[r.doc_id]]
     assert len(held) > 200
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.97
+
+
+def test_every_lower_case_piece_is_used():
+    pieces = li.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    assert max(map(len, pieces)) == li.LONGEST == 16
+    assert {li.START + w for w in ("people", "because", "before")} <= set(pieces)
+
+
+def test_long_words_stay_whole():
+    pieces = sorted([li.START, "a", "b", "ab", "bab", "abababababababab", li.START + "a"])
+    rng = np.random.default_rng(2)
+    table_ = np.vstack([rng.random((len(pieces), 2)) / 100, np.full(2, li.UNKNOWN), np.zeros(2)])
+    table_[0, 1] = 1e-11
+    scorer = li.Scorer(li.Model(pieces, ["x", "y"], np.zeros(2), table_))
+    words = ["ab" * 30, "ab" * 31 + "c", "ab" * 33, "é" * 130 + "ba", "ab" * 700]
+    assert li.words_of(" ".join(words)) == words
+    scorer.add([words])
+    for word in words:
+        for lang in range(2):
+            known = dict(zip(pieces, table_[:, lang], strict=False))
+            text, logs = li.START + word, [0.0]
+            for j in range(1, len(text) + 1):  # in logarithms, without stretches
+                parts = [
+                    logs[j - k] + math.log(known.get(text[j - k : j], li.UNKNOWN if k == 1 else 0.0))
+                    for k in range(1, min(16, j) + 1)
+                    if k == 1 or text[j - k : j] in known
+                ]
+                logs.append(np.logaddexp.reduce(parts))
+            assert abs(scorer.scores[scorer.row[word], lang] - logs[-1]) < 1e-7
