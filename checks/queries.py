@@ -433,12 +433,21 @@ def typed_lenient(spark: SparkSession, sf: str) -> DataFrame:
     return staging.typed(as_text.withColumn("clicks", spoilt), S.GOOGLE_RECORD, lenient=True)
 
 
+#: Records of one array file, about.
+ARRAY_RECORDS = 20_000
+
+
 def _array_files(spark: SparkSession, records: DataFrame, purpose: str) -> str:
-    """One file for each day, holding one JSON array, as the samples do."""
+    """Files of one JSON array each, as the samples are; a day has as many as its records need."""
     folder = shared_folder(spark, purpose)
     record = F.struct(*records.columns)
-    arrays = records.groupBy("date").agg(F.to_json(F.collect_list(record)).alias("value"))
-    arrays.repartition("date").write.partitionBy("date").text(folder)
+    days = records.groupBy(F.col("date").alias("day")).agg(F.ceil(F.count("*") / ARRAY_RECORDS).alias("files"))
+    # Records differ (day, run and campaign are their key), so a hash of all columns deals them evenly.
+    dealt = records.join(F.broadcast(days), F.col("date").eqNullSafe(F.col("day")))
+    salted = dealt.select(*records.columns, F.pmod(F.xxhash64(*records.columns), F.col("files")).alias("salt"))
+    arrays = salted.groupBy("date", "salt").agg(F.to_json(F.collect_list(record)).alias("value"))
+    # A reader takes one array from a file.
+    arrays.drop("salt").write.option("maxRecordsPerFile", 1).partitionBy("date").text(folder)
     return folder
 
 
