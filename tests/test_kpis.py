@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -84,6 +85,28 @@ def test_exact_total_is_the_decimal_sum(frame, values):
     assert df.agg(exact_total(F.col("x"))).first()[0] == sum(Decimal(str(v)) for v in values)
 
 
+def test_exact_total_of_any_numbers_of_fifteen_digits(spark):
+    """Magnitudes from 10^-12 to 10^15, both signs, in any order."""
+    chosen = random.Random(11)
+    rows = [(0, Decimal("1e-12")), (0, Decimal("-1e-12")), (1, Decimal("999999999999999")), (1, Decimal("-999.999999999999"))]
+    for group in range(2, 30):
+        for _ in range(80):
+            number = chosen.choice((1, -1)) * chosen.randint(1, 10 ** chosen.randint(1, 15) - 1)
+            rows.append((group, Decimal(number).scaleb(-chosen.randint(0, 12))))
+    chosen.shuffle(rows)
+    df = spark.createDataFrame([(g, float(d)) for g, d in rows], "g int, x double").repartition(5)
+    got = dict(df.groupBy("g").agg(exact_total(F.col("x")).alias("total")).collect())
+    for group in got:
+        assert got[group] == sum(Decimal(str(float(d))) for g, d in rows if g == group)
+
+
+def test_exact_total_rounds_longer_numbers_at_the_digits_a_double_carries(frame):
+    df = frame([(1234567.123456789,), (0.1 + 0.2,), (1e-13,), (9e18,), (-9e18,)], "x double")
+    assert df.agg(exact_total(F.col("x"))).first()[0] == Decimal("1234567.423456790000")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        frame([(1e19,)], "x double").agg(exact_total(F.col("x"))).collect()
+
+
 def test_values_that_are_not_numbers_stop_the_query(frame):
     with pytest.raises(Exception, match="OVERFLOW"):
         frame([(float("nan"),), (1.0,)], "x double").agg(exact_sum("x")).collect()
