@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, mixing, personal_data, quality_rules, simhash, suffix_dedup, token_counts, top_k_search, web_archive
+from . import byte_bpe, language_id, mixing, periodic_runs, personal_data, quality_rules, simhash, suffix_dedup, token_counts, top_k_search, web_archive
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.detect(table(spark, sf_dir, "documents"), seeded=True)
+
+
 def registered() -> dict[str, Query]:
     named = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return {**named, "pipeline": corpus_pipeline.run}

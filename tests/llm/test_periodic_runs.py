@@ -1,0 +1,117 @@
+import random
+import re
+from binascii import crc32
+from hashlib import sha256
+
+from adloom.llm import periodic_runs
+from adloom.llm.queries import op12_periodic_runs
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string"
+NONE = sha256(b"").hexdigest()
+
+
+def brute(words, least=6, powers=4):
+    """Every period, every stretch, and of each stretch every smaller period."""
+    found = []
+    for q in range(1, len(words) // powers + 1):
+        same = [words[i] == words[i + q] for i in range(len(words) - q)] + [False]
+        at = 0
+        while at < len(same):
+            if not same[at]:
+                at += 1
+                continue
+            to = at
+            while same[to]:
+                to += 1
+            stretch = words[at : to + q]
+            least_period = all(any(a != b for a, b in zip(stretch, stretch[p:])) for p in range(1, q))
+            if len(stretch) >= max(least, powers * q) and least_period:
+                found.append((at, len(stretch), q))
+            at = to
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def words_of(text):
+    return [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+
+
+def made_periodic(words, doc_id):
+    h, n = crc32(str(doc_id).encode()), len(words)
+    g = h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def expected(doc_id, text):
+    words = made_periodic(words_of(text), doc_id)
+    runs = brute(words)
+    dropped = {i for start, length, q in runs for i in range(start + q, start + length)}
+    longest = sorted(runs, key=lambda run: (-run[1], run[0], run[2]))[:1]
+    figures = (*longest[0], 1000 * longest[0][1] // longest[0][2]) if longest else (None,) * 4
+    written = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+    return (doc_id, len(words), len(runs), *figures, sha256(written.encode()).hexdigest(), sha256(kept).hexdigest())
+
+
+def test_runs_are_those_of_all_periods_tried_out():
+    chosen = random.Random(3)
+    texts = []
+    for _ in range(600):
+        letters, words = chosen.choice((1, 2, 2, 3, 6)), []
+        while len(words) < 70:
+            part = [chosen.randint(0, letters) for _ in range(chosen.randint(1, 9))]
+            words += (part * chosen.randint(1, 9))[: chosen.randint(1, 50)]
+        texts.append([str(w).encode() for w in words[: chosen.randint(0, 70)]])
+    found = periodic_runs.runs_of(texts)
+    assert sum(map(len, found)) > 300
+    for text, runs in zip(texts, found, strict=True):
+        assert runs == brute(text)
+
+
+def test_other_powers_and_lengths():
+    text = [b"a", b"b"] * 3 + [b"c"] + [b"d"] * 4
+    assert periodic_runs.runs_of([text], least=4, powers=2) == [brute(text, 4, 2)] == [[(0, 6, 2), (7, 4, 1)]]
+
+
+def test_one_word_many_times_is_one_run_whatever_its_length():
+    assert periodic_runs.runs_of([[b"a"] * 100_000]) == [[(0, 100_000, 1)]]
+    nested = ([b"a"] * 40 + [b"b"]) * 60
+    runs = periodic_runs.runs_of([nested])[0]
+    assert (0, len(nested), 41) in runs and len(runs) == 61
+
+
+def test_runs_do_not_cross_texts():
+    assert periodic_runs.runs_of([[b"a"] * 5, [b"a"] * 5, [b"a"] * 6]) == [[], [], [(0, 6, 1)]]
+
+
+def test_query_against_brute_force(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    # The longest texts take the brute force too long: a few thousand words each.
+    want = sorted(expected(r.doc_id, r.text) for r in documents if len(words_of(r.text)) < 1500)
+    got = {tuple(r) for r in op12_periodic_runs(spark, SF).collect()}
+    assert len(got) == len(documents) and set(want) <= got
+    assert len(want) > 0.9 * len(documents)
+    assert sum(1 for row in want if row[2]) > 5
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, None, "x", 1), (2, "", "x", 1), (3, " \n\t", "x", 1), (None, "a " * 8, "x", 1),
+        (4, "a b " * 5, "x", 1), (4, "a b " * 5, "x", 1), (5, "é é " * 6, "x", 1),
+    ]
+    documents = spark.createDataFrame(rows, f"{SCHEMA}, runs string, key int")
+    got = {}
+    for row in periodic_runs.detect(documents, texts=True).collect():
+        got.setdefault(row.doc_id, []).append(row)
+    assert [got[i][0].n_runs for i in (1, 2, 3)] == [0, 0, 0]
+    assert [got[i][0].collapsed_sha256 for i in (1, 2, 3)] == [NONE] * 3
+    assert [tuple(r) for r in got[None][0].runs] == [(0, 8, 1)] and got[None][0].collapsed == "a"
+    assert len(got[4]) == 2 and got[4][0] == got[4][1] and got[4][0].collapsed == "a b"
+    # A no-break space is no separator: six equal words.
+    assert (got[5][0].n_words, got[5][0].exponent_milli) == (6, 6000)
+    empty = spark.createDataFrame([], SCHEMA)
+    assert periodic_runs.detect(empty).count() == 0
