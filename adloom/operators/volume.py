@@ -16,6 +16,7 @@ from adloom.functions.conversion import present_only
 from adloom.functions.days import Day, as_day, day_before, on_day
 from adloom.functions.rounding import round_binary
 from adloom.operators.calendar import scaffold
+from adloom.operators.ledger import Ledger
 
 Tables = Mapping[str, "DataFrame | Callable[[], DataFrame]"]
 
@@ -80,6 +81,26 @@ def counts_by_table(
     return reduce(DataFrame.unionByName, (counted(name) for name in tables))
 
 
+def ledger_counts(
+    ledger: Ledger, tables: Mapping[str, Callable[[], DataFrame]], as_of: Day = None
+) -> DataFrame:
+    """The result of ``counts_by_table`` from a ledger: the tables themselves are only looked up.
+
+    A table that can't be looked up yields its error.
+    """
+    errors = {}
+    for name, frame in tables.items():
+        try:
+            frame()
+        except (PySparkException, Py4JError) as error:
+            errors[name] = str(error)
+    counts = ledger.day_counts([name for name in tables if name not in errors], as_of)
+    if not errors:
+        return counts
+    failed = [(name, None, None, error) for name, error in errors.items()]
+    return counts.unionByName(ledger.spark.createDataFrame(failed, _COUNTS))
+
+
 def variance_percent(current: Column, previous: Column) -> Column:
     """Absolute change against the day before; zero where that day had no rows."""
     change = F.abs(current - previous) / F.nullif(previous, F.lit(0)) * 100
@@ -233,14 +254,23 @@ def volume_history(rows: DataFrame, start: Day, end: Day) -> DataFrame:
         .groupBy("source", F.to_date("ingested_at").alias("day"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    by_source = daily.groupBy("source").agg(
+    return dense_history(daily, "source", start, end)
+
+
+def ledger_history(ledger: Ledger, start: Day, end: Day) -> DataFrame:
+    """Rows per ingestion day and table from a ledger, with the change against the day before."""
+    known = F.col("day").between(as_day(start), as_day(end))
+    return dense_history(ledger.daily().where(known), "table_name", start, end)
+
+
+def dense_history(daily: DataFrame, name: str, start: Day, end: Day) -> DataFrame:
+    """(name, day, row_count) filled in from the calendar, with the change against the day before."""
+    by_name = daily.groupBy(name).agg(
         F.map_from_entries(F.collect_list(F.struct("day", "row_count"))).alias("counts")
     )
     count = F.coalesce(F.try_element_at("counts", F.col("day")), F.lit(0))
-    dense = scaffold(by_source, start, end, "day").select(
-        "source", "day", count.alias("row_count")
-    )
-    previous = F.lag("row_count").over(Window.partitionBy("source").orderBy("day"))
+    dense = scaffold(by_name, start, end, "day").select(name, "day", count.alias("row_count"))
+    previous = F.lag("row_count").over(Window.partitionBy(name).orderBy("day"))
     return dense.withColumn("previous_count", previous).withColumn(
         "variance_percent",
         round_binary(variance_percent(F.col("row_count"), F.col("previous_count")), 2),

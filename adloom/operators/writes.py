@@ -13,12 +13,14 @@ import re
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom import schemas as S
 from adloom.operators.latest import latest_raw
+from adloom.operators.ledger import LEDGER, Ledger, Watch
 from adloom.operators.quality import duplicate_grain
 from adloom.session import shared_folder
 from adloom.sources.tables import is_path, scan
@@ -30,10 +32,11 @@ MART_LAYOUT = ("report_date",)
 MART_CLUSTER = ("platform", "campaign_id")
 
 
-def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+def _counted(rows: DataFrame, watch: Watch | None = None) -> tuple[DataFrame, Observation]:
     """Count rows while they are written, without a second pass."""
     seen = Observation(f"rows-{uuid.uuid4().hex}")
-    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    more = watch.metrics() if watch else []
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *more), seen
 
 
 def _laid_out(rows: DataFrame, layout: Sequence[str]) -> DataFrame:
@@ -41,7 +44,11 @@ def _laid_out(rows: DataFrame, layout: Sequence[str]) -> DataFrame:
 
 
 def _prepared(
-    rows: DataFrame, layout: Sequence[str], cluster_by: Sequence[str], rebalance: bool = True
+    rows: DataFrame,
+    layout: Sequence[str],
+    cluster_by: Sequence[str],
+    rebalance: bool = True,
+    watch: Watch | None = None,
 ) -> tuple[DataFrame, Observation]:
     """Rows as they should be written: gathered by layout, counted, sorted last.
 
@@ -49,7 +56,7 @@ def _prepared(
     counts once; the sort on top is the one the partitioned write asks for.
     """
     moved = _laid_out(rows, (*layout, *cluster_by[:1])) if rebalance else rows
-    counted, seen = _counted(moved)
+    counted, seen = _counted(moved, watch)
     if cluster_by:
         counted = counted.sortWithinPartitions(*layout, *cluster_by)
     return counted, seen
@@ -93,26 +100,35 @@ def create_table(
         empty.write.format("parquet").partitionBy(*layout).saveAsTable(table)
 
 
-def append_raw(rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT) -> int:
+def append_raw(
+    rows: DataFrame, target: str, layout: Sequence[str] = RAW_LAYOUT, watch: Watch | None = None
+) -> int:
     """Append a batch, creating the table if absent; returns the rows written.
 
+    ``watch``, here and in the other writers, notes the counts in a ledger.
+
     An empty batch adds no rows; its table is created like any other. Batches of one
     source may differ in their columns. The input is computed once: rows are counted
     while they are written.
     """
     if not is_path(target) and rows.sparkSession.catalog.tableExists(target):
         rows = _fitted(rows, target)
-    counted, seen = _prepared(rows, layout, ())
+    counted, seen = _prepared(rows, layout, (), watch=watch)
     writer = counted.write.format("parquet").mode("append").partitionBy(*layout)
     if is_path(target):
         writer.save(target)
     else:
         writer.saveAsTable(target)
-    return _reported(seen, target)
+    return _reported(seen, target, watch)
 
 
-def _reported(seen: Observation, target: str) -> int:
-    n = seen.get["rows"]
+def _reported(
+    seen: Observation, target: str, watch: Watch | None = None, replaced: str | None = None
+) -> int:
+    observed = seen.get
+    n = observed["rows"]
+    if watch and (n or replaced == "all"):
+        watch.note(observed, target, replaced)
     if not n:
         logger.warning("no rows to write to %s", target)
     return n
@@ -124,6 +140,7 @@ def replace_partitions(
     layout: Sequence[str] = RAW_LAYOUT,
     cluster_by: Sequence[str] = (),
     rebalance: bool = True,
+    watch: Watch | None = None,
 ) -> int:
     """Replace the partitions that occur in the batch and leave all others alone.
 
@@ -136,7 +153,7 @@ def replace_partitions(
     stored = not is_path(target) and spark.catalog.tableExists(target)
     if stored:
         rows = _fitted(rows, target)
-    counted, seen = _prepared(rows, layout, cluster_by, rebalance)
+    counted, seen = _prepared(rows, layout, cluster_by, rebalance, watch)
     if is_path(target):
         (
             counted.write.format("parquet")
@@ -151,7 +168,7 @@ def replace_partitions(
         counted.write.insertInto(target, overwrite=True)
     else:
         counted.write.format("parquet").partitionBy(*layout).saveAsTable(target)
-    return _reported(seen, target)
+    return _reported(seen, target, watch, "days")
 
 
 def _exists(spark: SparkSession, target: str) -> bool:
@@ -161,7 +178,7 @@ def _exists(spark: SparkSession, target: str) -> bool:
     return files.exists(path)
 
 
-def replace_run(rows: DataFrame, run_id: str, target: str) -> int:
+def replace_run(rows: DataFrame, run_id: str, target: str, watch: Watch | None = None) -> int:
     """Write the rows of one run in the place of what that run wrote to their days before.
 
     The layout is by day, as of every raw table: the days of the batch are read, the run's
@@ -176,7 +193,7 @@ def replace_run(rows: DataFrame, run_id: str, target: str) -> int:
             stored = scan(spark, target)
             others = _of_days(stored, days).where(~F.col("extract_run_id").eqNullSafe(run_id))
             rows = others.unionByName(rows, allowMissingColumns=True)
-        return replace_partitions(rows, target)
+        return replace_partitions(rows, target, watch=watch)
     finally:
         rows.unpersist()
 
@@ -203,6 +220,7 @@ def dedup_days(
     copy: str | None = None,
     schema: T.StructType | None = None,
     among: Column | None = None,
+    watch: Watch | None = None,
 ) -> int:
     """Rewrite a raw table to one row per key, the newest; returns the rows now held.
 
@@ -225,7 +243,7 @@ def dedup_days(
     folder = copy or shared_folder(spark, "dedup")
     logger.info("rewriting %d days of %s by way of %s", len(days), target, folder)
     _laid_out(kept, RAW_LAYOUT).write.partitionBy(*RAW_LAYOUT).parquet(folder)
-    held = replace_partitions(scan(spark, folder, stored.schema), target, rebalance=False)
+    held = replace_partitions(scan(spark, folder, stored.schema), target, rebalance=False, watch=watch)
     if copy is None:
         _delete(spark, folder)
     return held
@@ -298,7 +316,11 @@ def recover_table(spark: SparkSession, table: str) -> None:
 
 
 def swap_in(
-    rows: DataFrame, table: str, layout: Sequence[str], cluster_by: Sequence[str] = ()
+    rows: DataFrame,
+    table: str,
+    layout: Sequence[str],
+    cluster_by: Sequence[str] = (),
+    watch: Watch | None = None,
 ) -> int:
     """Replace a catalog table as a whole; returns its rows.
 
@@ -315,7 +337,7 @@ def swap_in(
         _discard(spark, following)
     schema, _, name = table.rpartition(".")
     root = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
-    counted, seen = _prepared(rows, layout, cluster_by)
+    counted, seen = _prepared(rows, layout, cluster_by, watch=watch)
     writer = counted.write.format("parquet").partitionBy(*layout)
     writer.option("path", f"{root}/{name}-{uuid.uuid4().hex}").saveAsTable(following)
     n = seen.get["rows"]
@@ -330,51 +352,121 @@ def swap_in(
         _discard(spark, previous)
     # Later appends change the number of rows.
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{ROWS}')")
-    return n
+    return _reported(seen, table, watch, "all")
+
+
+def compact_ledger(ledger: Ledger) -> int:
+    """Rewrite a ledger kept as a catalog table to one entry for each table, day and ingestion day."""
+    sums = ledger.counts().withColumn("written_at", F.current_timestamp()).select(*LEDGER.names)
+    return swap_in(sums.repartition(1), ledger.target, ())
+
+
+def _renamed(files, old, new) -> None:
+    """Rename a folder; a file system reports by its answer that it didn't."""
+    if files.exists(new):
+        # Most file systems would move the folder into the other one.
+        raise RuntimeError(f"{new} is there already")
+    if not files.rename(old, new):
+        raise RuntimeError(f"{old} could not be renamed to {new}")
+
+
+def _noted(spark: SparkSession, folder) -> int | None:
+    """The number of rows written to a folder, as its note says."""
+    note, files = _path(spark, f"{folder}.rows")
+    if not files.exists(note):
+        return None
+    return int(spark.read.text(note.toString()).first()[0])
+
+
+def _holds_its_rows(spark: SparkSession, folder) -> bool:
+    _, files = _path(spark, folder.toString())
+    if not files.exists(folder):
+        return False
+    written = _noted(spark, folder)
+    try:
+        return written is not None and spark.read.parquet(folder.toString()).count() == written
+    except AnalysisException:  # no file with a schema, or folders within folders
+        return False
+
+
+def _forget(spark: SparkSession, folder) -> None:
+    for path in (folder.toString(), f"{folder}.rows"):
+        _delete(spark, path)
 
 
 def recover_folder(spark: SparkSession, target: str) -> None:
-    """Undo the replacement of a folder that was interrupted between its two renames."""
+    """Finish or undo the replacement of a folder that was interrupted.
+
+    Where a rename copies file by file, a crash may leave half of a folder under either name. The
+    former rows stay below ``__previous`` until the folder holds as many rows as were written
+    to it; if it does not, it gives way to them.
+    """
     path, files = _path(spark, target)
     previous, _ = _path(spark, f"{target}__previous")
-    if files.exists(previous):
-        if files.exists(path):
-            files.delete(previous, True)
+    if not files.exists(previous):
+        return
+    if not _holds_its_rows(spark, path):
+        former = _noted(spark, previous)
+        if former is None and files.exists(path):
+            raise RuntimeError(f"it isn't noted which of {target} and {previous} is complete")
+        if former is not None and not _holds_its_rows(spark, previous):
+            # The copy to __previous was cut short: what it comes from is still whole.
+            if spark.read.parquet(target).count() != former:
+                raise RuntimeError(f"neither {target} nor {previous} is complete")
         else:
-            files.rename(previous, path)
+            _forget(spark, path)
+            _renamed(files, previous, path)
+    _forget(spark, previous)
 
 
-def write_mart(mart: DataFrame, target: str) -> int:
+def write_mart(mart: DataFrame, target: str, watch: Watch | None = None) -> int:
     """Build the whole mart table anew; returns its rows.
 
     Rows of a day and platform lie side by side, sorted by campaign within a
     file, so that readers who filter on platform or campaign skip row groups by
     their minima and maxima. A dominant day-platform spreads over several files. A folder
-    is written next to the old one and takes its place once complete.
+    is written next to the old one and takes its place once complete; how many rows each
+    should hold is noted beside it.
     """
     if not is_path(target):
-        return swap_in(mart, target, MART_LAYOUT, MART_CLUSTER)
+        return swap_in(mart, target, MART_LAYOUT, MART_CLUSTER, watch)
     spark = mart.sparkSession
     recover_folder(spark, target)
     path, files = _path(spark, target)
     following, _ = _path(spark, f"{target}__next-{uuid.uuid4().hex}")
     previous, _ = _path(spark, f"{target}__previous")
-    counted, seen = _prepared(mart, MART_LAYOUT, MART_CLUSTER)
+    counted, seen = _prepared(mart, MART_LAYOUT, MART_CLUSTER, watch=watch)
     counted.write.partitionBy(*MART_LAYOUT).parquet(following.toString())
+
+    def note(folder, n: int) -> None:
+        spark.createDataFrame([(str(n),)], "n string").coalesce(1).write.mode("overwrite").text(f"{folder}.rows")
+
+    n = seen.get["rows"]
     if files.exists(path):
-        files.rename(path, previous)
-    files.rename(following, path)
-    files.delete(previous, True)
-    return seen.get["rows"]
+        note(previous, spark.read.parquet(target).count())
+        _renamed(files, path, previous)
+    note(path, n)
+    try:
+        _renamed(files, following, path)
+    except Exception:
+        recover_folder(spark, target)
+        raise
+    if files.exists(previous):
+        if not _holds_its_rows(spark, path):
+            raise RuntimeError(f"{target} isn't complete; its former rows are in {previous}")
+        _forget(spark, previous)
+    # Later refreshes change the number of rows.
+    _delete(spark, f"{target}.rows")
+    return _reported(seen, target, watch, "all")
 
 
-def refresh_mart(mart: DataFrame, target: str) -> int:
+def refresh_mart(mart: DataFrame, target: str, watch: Watch | None = None) -> int:
     """Replace only the days that the given mart rows cover.
 
     With a mart built over the restated days this leaves the table as a full
     build would, at the cost of those days.
     """
-    return replace_partitions(mart, target, MART_LAYOUT, MART_CLUSTER)
+    return replace_partitions(mart, target, MART_LAYOUT, MART_CLUSTER, watch=watch)
 
 
 def append_run(summary: DataFrame, target: str) -> None:

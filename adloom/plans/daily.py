@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from adloom import schemas as S
 from adloom.functions.days import Day, as_day
 from adloom.operators import catalog, runlog, volume
+from adloom.operators.ledger import Ledger, Watch
 from adloom.operators.metadata import new_run_id, stamp
 from adloom.operators.writes import (
     append_raw,
@@ -46,6 +47,10 @@ class Layers:
     def mart(self) -> str:
         return catalog.qualified(S.MART_TABLE, "marts", self.schemas)
 
+    @property
+    def ledger(self) -> str:
+        return catalog.qualified(S.LEDGER_TABLE, "raw", self.schemas)
+
     @property
     def run_summary(self) -> str:
         return catalog.qualified(S.RUN_SUMMARY_TABLE, "marts", self.schemas)
@@ -67,6 +72,30 @@ WATCHED = (
 )
 
 
+def watches(spark: SparkSession, layers: Layers) -> tuple[Watch, Watch, Watch]:
+    """What the writers of the raw tables and the mart note in the ledger of a deployment.
+
+    Staging rows are the raw rows with a complete key.
+    """
+    ledger = Ledger(spark, layers.ledger)
+    complete = F.col("date").isNotNull() & F.col("campaign_id").isNotNull()
+    return (
+        Watch(ledger, {S.RAW_GOOGLE_TABLE: None, S.STG_GOOGLE_TABLE: complete}),
+        Watch(ledger, {S.RAW_META_TABLE: None, S.STG_META_TABLE: complete}),
+        Watch(ledger, {S.MART_TABLE: None}, "report_date"),
+    )
+
+
+def audit_ledger(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The ledger of a deployment beside a recount of its stored tables."""
+    stored = {
+        name: (spark.table(table), condition, watch.day)
+        for watch, table in zip(watches(spark, layers), (layers.raw_google, layers.raw_meta, layers.mart), strict=True)
+        for name, condition in watch.tables.items()
+    }
+    return Ledger(spark, layers.ledger).audit(stored)
+
+
 def small(results: DataFrame) -> DataFrame:
     """Fix a result of one row per check or table, so that it is computed once."""
     return results.sparkSession.createDataFrame(results.collect(), results.schema)
@@ -91,7 +120,8 @@ def run_daily(
 
     With ``since``, the first day the batches cover, deduplication and the model's
     tests look at the days from there on, and only those days of an existing mart are
-    rebuilt; without it everything is. A run that fails is logged with the step and the
+    rebuilt; without it everything is. The volume checks read the ledger that the writes keep, not
+    the tables; where a deployment has none yet, its tables are counted once. A run that fails is logged with the step and the
     error before the error is raised.
     """
     run = run_id or new_run_id()
@@ -128,15 +158,21 @@ def run_daily(
         # A source that never delivered is an empty table.
         create_table(spark, layers.raw_google, S.RAW_GOOGLE)
         create_table(spark, layers.raw_meta, S.RAW_META)
-        for source, records, table in (
-            (S.GOOGLE, google, layers.raw_google),
-            (S.META, meta, layers.raw_meta),
+        of_google, of_meta, of_mart = watches(spark, layers)
+        ledger = Ledger(spark, layers.ledger)
+        if not ledger.exists():
+            for watch, table in ((of_google, layers.raw_google), (of_meta, layers.raw_meta), (of_mart, layers.mart)):
+                if spark.catalog.tableExists(table):
+                    ledger.settle(watch, spark.table(table))
+        for source, records, table, watch in (
+            (S.GOOGLE, google, layers.raw_google, of_google),
+            (S.META, meta, layers.raw_meta, of_meta),
         ):
             step = f"ingest_{source}"
-            written[source] = append_raw(stamp(records, source, run, ingested_at), table)
+            written[source] = append_raw(stamp(records, source, run, ingested_at), table, watch=watch)
             step = f"deduplicate_{source}"
             covered = None if since is None else F.col("date") >= as_day(since)
-            dedup_days(spark, table, among=covered)
+            dedup_days(spark, table, among=covered, watch=watch)
 
         step = "build_mart"
         union = unify(
@@ -145,9 +181,9 @@ def run_daily(
         )
         if since is not None and spark.catalog.tableExists(layers.mart):
             union = union.where(F.col("report_date") >= as_day(since))
-            refresh_mart(build_mart(union, ingested_at), layers.mart)
+            refresh_mart(build_mart(union, ingested_at), layers.mart, of_mart)
         else:
-            write_mart(build_mart(union, ingested_at), layers.mart)
+            write_mart(build_mart(union, ingested_at), layers.mart, of_mart)
 
         step = "test_models"
         stored = {t: model_frame(spark, layers, t) for t in (S.RAW_GOOGLE_TABLE, S.RAW_META_TABLE, S.MART_TABLE)}
@@ -158,7 +194,8 @@ def run_daily(
         tests = small(suite.run_model_suite(*stored.values()))
         step = "check_volumes"
         watched = {t: lambda t=t: model_frame(spark, layers, t) for t in WATCHED}
-        volumes = small(volume.volume_checks(spark, watched, as_of))
+        counts = volume.ledger_counts(ledger, watched, as_of)
+        volumes = small(volume.evaluate(counts, volume.default_thresholds(spark)))
     except Exception as error:
         log("failed", error=str(error))
         raise

@@ -16,6 +16,7 @@ STG_META_TABLE = "stg_meta_ads__campaign_daily"
 UNIFIED_TABLE = "int_campaign_daily_unified"
 MART_TABLE = "mart_campaign_daily"
 RUN_SUMMARY_TABLE = "run_summary"
+LEDGER_TABLE = "ingestion_ledger"
 
 ENGAGEMENT_ACTIONS = {
     "likes": "post_reaction",

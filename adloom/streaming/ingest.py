@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from adloom.operators.ledger import Watch
 from adloom.operators.metadata import stamp
 from adloom.operators.writes import replace_run
 from adloom.sources.insights import LandedSource
@@ -33,6 +34,7 @@ def write_batches(
     checkpoint: str,
     stream_id: str,
     ingested_at: Clock = lambda batch: None,
+    watch: Watch | None = None,
 ) -> StreamingQuery:
     """Start a query that takes everything landed so far and then stops.
 
@@ -42,7 +44,7 @@ def write_batches(
 
     def write(batch: DataFrame, number: int) -> None:
         run = batch_run_id(stream_id, number)
-        replace_run(stamp(batch, source, run, ingested_at(number)), run, target)
+        replace_run(stamp(batch, source, run, ingested_at(number)), run, target, watch)
 
     return (
         records.writeStream.trigger(availableNow=True)
@@ -61,8 +63,9 @@ def ingest_landed(
     stream_id: str,
     files_per_batch: int = 1000,
     ingested_at: Clock = lambda batch: None,
+    watch: Watch | None = None,
 ) -> None:
     """Ingest newly landed files of a source; a bounded number of files per batch."""
     records = source.stream(spark, landing, maxFilesPerTrigger=str(files_per_batch))
-    query = write_batches(records, source.name, target, checkpoint, stream_id, ingested_at)
+    query = write_batches(records, source.name, target, checkpoint, stream_id, ingested_at, watch)
     query.awaitTermination()

@@ -448,6 +448,30 @@ COMPARISON = f"""SELECT platform, count(DISTINCT campaign_id) AS nb_campagnes,
        CAST(sum(impressions) AS BIGINT) AS total_impressions,
        {mean("ctr")} AS ctr_moyen, {total("spend")} AS depense_totale"""
 
+REFRESHED = ",".join(
+    (
+        RAW,
+        newest("fresh_google", "raw_google", f"date >= {AS_OF} - 7"),
+        newest("fresh_meta", "raw_meta", f"date >= {AS_OF} - 7"),
+        f"google AS (SELECT * FROM fresh_google UNION ALL SELECT * FROM raw_google WHERE date < {AS_OF} - 7)",
+        f"meta AS (SELECT * FROM fresh_meta UNION ALL SELECT * FROM raw_meta WHERE date < {AS_OF} - 7)",
+        models("google", "meta"),
+    )
+)
+
+#: The stored tables of the ledger's query, by name: day, relation.
+LEDGER_TABLES = {
+    S.RAW_GOOGLE_TABLE: ("date", "newest_google"),
+    S.STG_GOOGLE_TABLE: ("date", "newest_google"),
+    S.RAW_META_TABLE: ("date", "raw_meta"),
+    S.STG_META_TABLE: ("date", "raw_meta"),
+    S.MART_TABLE: ("report_date", "mart"),
+}
+LEDGER = f"""{REFRESHED},{newest('newest_google', 'raw_google')},
+ledger AS ({" UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, {day} AS day, CAST(ingested_at AS DATE) AS ingestion_day,"
+    f" count(*) AS n FROM {relation} GROUP BY ALL" for table, (day, relation) in LEDGER_TABLES.items())})"""
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -545,21 +569,7 @@ FROM unified""",
     "mart": with_(MODELS, "SELECT * FROM mart"),
     "mart_table": with_(MODELS, "SELECT * FROM mart"),
     "mart_swapped": with_(MODELS, "SELECT * FROM mart"),
-    "mart_refreshed": with_(
-        ",".join(
-            (
-                RAW,
-                newest("fresh_google", "raw_google", f"date >= {AS_OF} - 7"),
-                newest("fresh_meta", "raw_meta", f"date >= {AS_OF} - 7"),
-                f"google AS (SELECT * FROM fresh_google UNION ALL"
-                f" SELECT * FROM raw_google WHERE date < {AS_OF} - 7)",
-                f"meta AS (SELECT * FROM fresh_meta UNION ALL"
-                f" SELECT * FROM raw_meta WHERE date < {AS_OF} - 7)",
-                models("google", "meta"),
-            )
-        ),
-        "SELECT * FROM mart",
-    ),
+    "mart_refreshed": with_(REFRESHED, "SELECT * FROM mart"),
     "mart_by_sql": with_(
         MODELS,
         f"""SELECT report_date, platform, count(*) AS campaigns,
@@ -684,6 +694,25 @@ FROM (
   FROM (SELECT DISTINCT source FROM mart) CROSS JOIN ({ALL_DAYS} AS day)
   LEFT JOIN (SELECT source, CAST(ingested_at AS DATE) AS day, count(*) AS n
              FROM mart GROUP BY 1, 2) USING (source, day)
+)""",
+    ),
+    "ledger_audit": with_(
+        LEDGER,
+        """SELECT table_name, day, ingestion_day, n AS ledger_rows, n AS stored_rows, false AS differ
+FROM ledger""",
+    ),
+    "ledger_volumes": with_(
+        LEDGER,
+        f"""SELECT *, CAST(printf('%.2f', CASE WHEN previous_count > 0
+         THEN CAST(abs(row_count - previous_count) AS DOUBLE) / previous_count * 100
+         ELSE 0.0 END) AS DOUBLE) AS variance_percent
+FROM (
+  SELECT table_name, day, coalesce(n, 0) AS row_count,
+         lag(coalesce(n, 0)) OVER (PARTITION BY table_name ORDER BY day) AS previous_count
+  FROM (SELECT DISTINCT table_name FROM ledger) CROSS JOIN ({ALL_DAYS} AS day)
+  LEFT JOIN (SELECT table_name, ingestion_day AS day, CAST(sum(n) AS BIGINT) AS n
+             FROM ledger WHERE ingestion_day {"BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'"}
+             GROUP BY 1, 2) USING (table_name, day)
 )""",
     ),
     # broken rules

@@ -19,6 +19,7 @@ from adloom.operators.latest import (
     late_window,
     restate,
 )
+from adloom.operators.ledger import Ledger
 from adloom.plans import analysis, daily, mart, staging, suite, unified
 from adloom.session import configure, shared_folder
 from adloom.sources import adapters
@@ -311,6 +312,30 @@ def mart_by_sql(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def ledger_layers(spark: SparkSession, sf: str) -> daily.Layers:
+    """Stored tables after appends, deduplication, a build and a refresh, noted in their ledger."""
+    layers = private_layers(spark)
+    of_google, of_meta, of_mart = daily.watches(spark, layers)
+    for part in _two_arrivals(spark, sf):
+        writes.append_raw(part, layers.raw_google, watch=of_google)
+    writes.append_raw(adapters.raw_meta(spark, sf), layers.raw_meta, watch=of_meta)
+    writes.dedup_days(spark, layers.raw_google, watch=of_google)
+    writes.write_mart(all_runs_mart(spark, sf), layers.mart, of_mart)
+    writes.refresh_mart(late_window(the_mart(spark, sf), AS_OF, "report_date"), layers.mart, of_mart)
+    return layers
+
+
+def ledger_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger beside a recount of the stored tables."""
+    return daily.audit_ledger(spark, ledger_layers(spark, sf))
+
+
+def ledger_volumes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by ingestion day from the ledger, with the change against the day before."""
+    ledger = Ledger(spark, ledger_layers(spark, sf).ledger)
+    return volume.ledger_history(ledger, *ALL_DAYS)
+
+
 # Quality
 
 
@@ -680,6 +705,8 @@ QUERIES: dict[str, Query] = {
     "volume_summary": lambda spark, sf: volume.summarize(volume_result(spark, sf)),
     "volume_report": lambda spark, sf: volume.report(volume_result(spark, sf)),
     "volume_history": volume_history,
+    "ledger_audit": ledger_audit,
+    "ledger_volumes": ledger_volumes,
     # broken rules
     "dq_spoilt_suite": dq_spoilt_suite,
     "dq_spoilt_kpis": over_spoilt(

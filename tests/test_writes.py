@@ -263,6 +263,85 @@ def test_a_folder_of_the_mart_survives_a_failed_build(spark, folder, mart_rows):
     assert scan(spark, target).count() == 20
 
 
+class Unwilling:
+    """A file system whose renames fail from the n-th on, by their answer or half-way."""
+
+    def __init__(self, files, spark, from_, halfway):
+        self.files, self.spark, self.left, self.halfway = files, spark, from_, halfway
+
+    def __getattr__(self, name):
+        return getattr(self.files, name)
+
+    def rename(self, old, new):
+        self.left -= 1
+        if self.left >= 0:
+            return self.files.rename(old, new)
+        if self.halfway:
+            # As where a rename copies: some of the files are there, the old folder is whole.
+            some = scan(self.spark, old.toString()).limit(2)
+            some.write.partitionBy("report_date").parquet(new.toString())
+        return False
+
+
+@pytest.mark.parametrize("halfway", [False, True])
+@pytest.mark.parametrize("from_", [0, 1])
+def test_renames_that_fail_never_cost_the_mart(spark, folder, mart_rows, monkeypatch, from_, halfway):
+    target = folder("mart")
+    writes.write_mart(mart_rows(20), target)
+    path = writes._path
+    unwilling = Unwilling(path(spark, target)[1], spark, from_, halfway)
+    monkeypatch.setattr(writes, "_path", lambda s, f: (path(s, f)[0], unwilling))
+    with pytest.raises(Exception, match="could not be renamed|is there already"):
+        writes.write_mart(mart_rows(7), target)
+    monkeypatch.undo()
+    writes.recover_folder(spark, target)
+    assert scan(spark, target).count() == 20
+    assert writes.write_mart(mart_rows(7), target) == 7
+    assert scan(spark, target).count() == 7
+    assert not path(spark, target)[1].exists(path(spark, f"{target}__previous")[0])
+
+
+@pytest.mark.parametrize("steps", range(1, 9))
+def test_a_crash_after_any_step_leaves_the_old_or_the_new_folder(spark, folder, mart_rows, monkeypatch, steps):
+    target = folder("mart")
+    writes.write_mart(mart_rows(20), target)
+    path, left = writes._path, [steps]
+
+    class Crashing:
+        def __init__(self, files):
+            self.files = files
+
+        def __getattr__(self, name):
+            done = getattr(self.files, name)
+
+            def step(*given):
+                left[0] -= name in ("rename", "delete", "exists")
+                if left[0] < 0:
+                    raise KeyboardInterrupt
+                return done(*given)
+
+            return step
+
+    monkeypatch.setattr(writes, "_path", lambda s, f: (path(s, f)[0], Crashing(path(s, f)[1])))
+    try:
+        writes.write_mart(mart_rows(7), target)
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.undo()
+    writes.recover_folder(spark, target)
+    assert scan(spark, target).count() in (20, 7)
+    assert writes.write_mart(mart_rows(9), target) == 9
+
+
+def test_a_folder_of_unknown_state_is_left_alone(spark, folder, mart_rows):
+    target = folder("mart")
+    writes.write_mart(mart_rows(20), target)
+    mart_rows(4).write.partitionBy("report_date").parquet(f"{target}__previous")
+    with pytest.raises(RuntimeError, match="isn't noted"):
+        writes.recover_folder(spark, target)
+    assert scan(spark, target).count() == 20 and scan(spark, f"{target}__previous").count() == 4
+
+
 def test_a_run_without_a_source(spark, frame, folder):
     names = {layer: f"{n}_{uuid.uuid4().hex[:8]}" for layer, n in catalog.LAYERS.items()}
     catalog.create_namespaces(spark, names, folder("schemas"))
