@@ -551,6 +551,10 @@ UNION ALL SELECT * FROM raw_google WHERE date < {AS_OF} - 7 AND extract_run_id <
         FLAT_META,
         f"SELECT *, {INGESTED_AT} AS ingested_at, 'meta_ads' AS source FROM flat_meta",
     ),
+    "stream_newest": with_(
+        f"{RAW_META},{newest('meta', 'raw_meta')}",
+        "SELECT * REPLACE (CAST(campaign_id AS VARCHAR) AS campaign_id) FROM meta",
+    ),
     # models
     "stg_google": with_(ALL_RUNS, "SELECT * FROM stg_google"),
     "stg_meta": with_(ALL_RUNS, "SELECT * FROM stg_meta"),

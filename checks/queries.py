@@ -25,7 +25,7 @@ from adloom.session import configure, shared_folder
 from adloom.sources import adapters
 from adloom.sources.insights import flatten_insights
 from adloom.sources.tables import scan, scan_as
-from adloom.streaming import ingest
+from adloom.streaming import ingest, newest
 from checks.oracle import BROKEN_LIMITS
 
 AS_OF = adapters.LAST_DAY
@@ -258,6 +258,20 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return scan_as(spark, target, S.RAW_META).drop("extract_run_id", "conversions")
 
 
+def stream_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw rows arrive run by run; the newest of each campaign-day, some days compacted."""
+    landing, target = shared_folder(spark, "newest-landing"), shared_folder(spark, "newest-raw")
+    checkpoint = shared_folder(spark, "newest-checkpoint")
+    raw_meta = adapters.raw_meta(spark, sf)
+    for run in ("run_0", "run_2", "run_1"):
+        part = raw_meta.where(F.col("extract_run_id") == run)
+        part.hint("rebalance", "date").write.mode("append").partitionBy("date").json(landing)
+        rows = spark.readStream.schema(S.RAW_META).option("maxFilesPerTrigger", "1000").json(landing)
+        newest.ingest_newest(rows, target, checkpoint)
+    newest.compact_changes(spark, target, S.RAW_META, F.col("date") < RANGE[0])
+    return newest.newest_rows(spark, target, S.RAW_META).drop("conversions")
+
+
 # Models
 
 
@@ -663,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "late_restatement": late_restatement,
     "ingestion_profile": ingestion_profile,
     "stream_ingest": stream_ingest,
+    "stream_newest": stream_newest,
     # models
     "stg_google": lambda spark, sf: staging.stage_google(adapters.raw_google(spark, sf)),
     "stg_meta": lambda spark, sf: staging.stage_meta(adapters.raw_meta(spark, sf)),
