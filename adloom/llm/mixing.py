@@ -12,8 +12,8 @@ all words, three times its own words at most; what is cut off is shared again by
 
 A null or empty text has no words: it's never taken. A source without words has target 0. Repeated
 rows are documents of their own, laid side by side. Null ids are documents like any other. An
-empty table gives an empty result. Columns other than doc_id, text and source are passed over by
-``mix`` and kept as they are by ``repeated``.
+empty table gives an empty result. Very long texts are counted whole. Columns other than doc_id, text and
+source, of any name and type, are passed over by ``mix`` and kept as they are by ``repeated``.
 """
 
 from __future__ import annotations
@@ -100,14 +100,8 @@ def laid_out(sizes: DataFrame, totals: DataFrame, part: int = PART) -> DataFrame
     source's figures. A source of any size is summed in parts, by the leading digits of the key.
     """
     lead = F.conv(F.substring("__key", 1, 8), 16, 10).cast("long")
-    parts = F.ceil(F.col("source_docs") / part)
-    split = (
-        sizes.join(totals.withColumnRenamed("label", "__label"), "__label")
-        .withColumn("__part", F.floor(lead * parts / F.lit(1 << 32)))
-        .withColumnsRenamed(
-            {c: f"__{c}" for c in ("source_size", "source_docs", "target", "limit")}
-        )
-    )
+    parts = F.ceil(F.col("__source_docs") / part)
+    split = sizes.join(totals, "__label").withColumn("__part", F.floor(lead * parts / F.lit(1 << 32)))
     sums = split.groupBy(F.col("__label").alias("label"), F.col("__part").alias("part")).agg(
         F.sum("__size").alias("n")
     )
@@ -170,7 +164,8 @@ def _planned(
         targets(sizes, weights).withColumn("limit", F.round("target").cast("long")), "mix-sources"
     )
     few = totals.count() <= BROADCAST_SOURCES
-    return totals, laid_out(sizes, F.broadcast(totals) if few else totals, part)
+    named = totals.toDF(*(f"__{c}" for c in totals.columns))
+    return totals, laid_out(sizes, F.broadcast(named) if few else named, part)
 
 
 def _runs() -> Column:
@@ -229,10 +224,10 @@ def repeated(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFr
     """The documents as often as the mix takes their first word: whole documents, nought to three
     times each; the columns stay as they are.
     """
-    columns = documents.columns
-    _, laid = _planned(documents, weights, PART_OF_TEXTS)
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("__row")
+    _, laid = _planned(documents.select(row, "doc_id", "text", "source"), weights, PART_OF_TEXTS)
     return (
         laid.where((_runs() > 0) & (F.col("__size") > 0))
         .withColumn("__run", F.explode(F.sequence(F.lit(1).cast("long"), _runs())))
-        .select(*columns)
+        .select("__row.*")
     )

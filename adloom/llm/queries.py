@@ -96,6 +96,7 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate(F.transform("spans", length), F.lit(0).cast("long"), add).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         "kept_sha256",
+        "text",
     )
 
 

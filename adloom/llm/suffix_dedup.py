@@ -334,53 +334,40 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def deduplicated(documents: DataFrame, together: int = TOGETHER) -> DataFrame:
-    """doc_id, n_bytes, spans (start, stop of removed runs), kept_sha256, and kept: the remaining bytes
-    where some but not all were removed.
+    """doc_id, n_bytes, spans (start, stop of removed runs), kept_sha256, kept (the remaining bytes) and
+    text (the same as text: what is left of a character that was cut in two is U+FFFD).
     """
     copies, ranges = repeats(documents, together)
-    rows = keyed(documents)
-    partial = copies.where("copies = 1").join(ranges, "key").select("key", "ranges")
-    copied = copies.where("copies > 1").select("key", "copies")
+    partial = copies.where("copies = 1").join(ranges, "key").select("key", "ranges", F.lit(False).alias("all"))
+    copied = copies.where("copies > 1").select("key", F.array().cast(_RANGES).alias("ranges"), F.lit(True).alias("all"))
+    decided = partial.union(copied)
     spans_of = "array<struct<start:int,stop:int>>"
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
-            all_spans, digests, texts = [], [], []
-            for data, found in zip(batch.column("data"), batch.column("ranges"), strict=True):
+            all_spans, digests, kepts = [], [], []
+            for data, found, whole in zip(*(batch.column(c) for c in ("data", "ranges", "all")), strict=True):
                 data = data.as_py()
-                spans = merged([(r["low"], r["high"]) for r in found.as_py()])
+                ranges = [(r["low"], r["high"]) for r in found.as_py() or ()]
+                spans = [(0, len(data))] if whole.as_py() else merged(ranges)
                 at, kept = 0, []
                 for start, stop in spans:
                     kept.append(data[at:start])
                     at = stop
-                kept = b"".join([*kept, data[at:]])
+                kept = b"".join([*kept, data[at:]]) if spans else data
                 all_spans.append([{"start": a, "stop": b} for a, b in spans])
                 digests.append(sha256(kept).hexdigest())
-                texts.append(kept)
-            arrays = [batch.column("doc_id"), batch.column("n_bytes"), pa.array(all_spans, kind), pa.array(digests, pa.string()), pa.array(texts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "spans", "kept_sha256", "kept"])
+                kepts.append(kept)
+            texts = pa.array([kept.decode("utf-8", "replace") for kept in kepts], pa.string())
+            arrays = [batch.column("doc_id"), batch.column("n_bytes"), pa.array(all_spans, kind), pa.array(digests, pa.string())]
+            names = ["doc_id", "n_bytes", "spans", "kept_sha256", "kept", "text"]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(kepts, pa.binary()), texts], names)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    cut = (
-        rows.where(F.col("n_bytes") >= LENGTH)
-        .select("doc_id", "n_bytes", "key", "data")
-        .join(partial, "key")
-        .select("doc_id", "n_bytes", "data", "ranges")
-        .mapInArrow(over, f"doc_id {kind}, n_bytes long, spans {spans_of}, kept_sha256 string, kept binary")
-    )
-    everything = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("stop")))
-    gone = F.col("copies").isNotNull()
-    rest = (
-        rows.select("doc_id", "n_bytes", "key", "digest")
-        .join(partial.select("key"), "key", "left_anti")
-        .join(copied, "key", "left")
-        .select(
-            "doc_id",
-            "n_bytes",
-            F.when(gone, everything).otherwise(F.array().cast(spans_of)).alias("spans"),
-            F.when(gone, F.lit(sha256(b"").hexdigest())).otherwise(F.col("digest")).alias("kept_sha256"),
-            F.lit(None).cast("binary").alias("kept"),
-        )
+    rows = keyed(documents).select("doc_id", "n_bytes", "key", "data")
+    return (
+        rows.join(decided, "key", "left")
+        .select("doc_id", "n_bytes", "data", "ranges", "all")
+        .mapInArrow(over, f"doc_id {kind}, n_bytes long, spans {spans_of}, kept_sha256 string, kept binary, text string")
     )
-    return cut.union(rest)

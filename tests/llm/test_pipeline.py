@@ -4,7 +4,8 @@ import tiktoken
 import corpus_pipeline
 from adloom.llm import byte_bpe, personal_data, quality_rules
 from adloom.llm.common import table
-from test_simhash import brute_classes, brute_print
+from test_near_copies import brute_groups
+from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,10 +23,9 @@ def test_stages_against_plain_python(spark):
     assert {r.doc_id: r.text for r in good.collect()} == {i: r.clean_text for i, r in verdicts.items() if r.kept}
 
     rows = sorted(good.collect(), key=lambda r: r.doc_id)
-    classes = brute_classes([brute_print(r.text) for r in rows])
     first = {}
-    for r, c in zip(rows, classes, strict=True):
-        first.setdefault(c, r.doc_id)
+    for r, group in zip(rows, brute_groups([r.text for r in rows]), strict=True):
+        first.setdefault(group, r.doc_id)
     single = stages["simhash_near_copies"](spark, good, FOLDER).cache()
     assert single.columns == columns
     assert sorted(r.doc_id for r in single.collect()) == sorted(first.values())
@@ -53,3 +53,29 @@ def test_stages_against_plain_python(spark):
     want = sorted((r.doc_id, encoding.encode_ordinary(r.text)) for r in mixed.collect())
     assert sorted((r.doc_id, r.ids) for r in stages["byte_level_bpe"](spark, mixed, FOLDER).collect()) == want
     assert sorted((r.doc_id, r.ids) for r in corpus_pipeline.run(spark, FOLDER).collect()) == want
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark):
+    """Nulls, empty and long texts, repeated rows and columns of any name and type, through every stage."""
+    documents = table(spark, FOLDER, "documents").limit(60)
+    names = ("target", "limit", "source_size", "source_docs", "part", "root", "label", "key", "node", "ring", "__label")
+    odd = documents.withColumns({n: F.lit(n) for n in names}).withColumns(
+        {"m": F.create_map(F.lit("a"), F.lit(1)), "row": F.array(F.lit(1)), "spans": F.lit(None).cast("string")}
+    )
+    blank = odd.limit(3).withColumn("text", F.lit(None).cast("string"))
+    empty = odd.limit(3).withColumn("text", F.lit("")).withColumn("doc_id", F.lit(None).cast("long"))
+    long = odd.limit(1).withColumn("text", F.repeat("text", F.lit(40))).withColumn("source", F.lit(None).cast("string"))
+    given = odd.union(odd.limit(10)).union(blank).union(empty).union(long).cache()
+    for frame in (given, given.where("false")):
+        docs = frame
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, FOLDER)
+            assert docs.columns == given.columns, name
+            kept = docs.collect()
+            assert all(r.target == "target" and r.m == {"a": 1} and r.row == [1] for r in kept)
+            docs = spark.createDataFrame(kept, docs.schema)
+        assert bool(kept) == (frame is given)
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == len(kept)
+        # Each stage takes the odd rows themselves, too.
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, frame, FOLDER).collect()
