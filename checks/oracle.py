@@ -503,8 +503,26 @@ EXCEPT SELECT campaign_id, date FROM raw_meta""",
         f"""SELECT 'camp_' || c_custkey AS campaign_id, date
 FROM customer CROSS JOIN ({ALL_DAYS} AS date)
 EXCEPT SELECT campaign_id, date FROM raw_google""",
+    ),
+    "missing_runs": with_(
+        f"""{RAW_META}, absent AS (SELECT campaign_id, date
+FROM (SELECT DISTINCT campaign_id FROM raw_meta) CROSS JOIN ({ALL_DAYS} AS date)
+EXCEPT SELECT campaign_id, date FROM raw_meta)""",
+        """SELECT campaign_id, min(date) AS from_day, max(date) AS to_day FROM (
+  SELECT *, date - CAST(row_number() OVER (PARTITION BY campaign_id ORDER BY date) AS INTEGER) AS run
+  FROM absent) GROUP BY campaign_id, run""",
+    ),
+    "missing_days_unrolled": with_(
+        RAW_META,
+        f"""SELECT campaign_id, date
+FROM (SELECT DISTINCT campaign_id FROM raw_meta) CROSS JOIN ({ALL_DAYS} AS date)
+EXCEPT SELECT campaign_id, date FROM raw_meta""",
     ),
     # raw zone
+    "restated_bucketed": with_(
+        f"{RAW_GOOGLE},{newest('fresh', 'raw_google', f'date >= {AS_OF} - 7')}",
+        f"SELECT * FROM fresh UNION ALL SELECT * FROM raw_google WHERE date < {AS_OF} - 7",
+    ),
     "ingestion_metadata": with_(
         RAW_GOOGLE,
         f"""SELECT {GOOGLE_RECORD}, {INGESTED_AT} AS ingested_at,
@@ -629,6 +647,39 @@ ORDER BY total_spend DESC NULLS LAST, campaign_name, platform LIMIT 10""",
         MODELS,
         f"""{COMPARISON}, {mean("roas")} AS roas_moyen
 FROM mart WHERE report_date >= {AS_OF} - 7 GROUP BY platform""",
+    ),
+    "rollup_top_roas": with_(
+        MODELS,
+        f"""SELECT campaign_name, platform, {total("spend")} AS total_spend,
+       CAST(sum(conversions) AS BIGINT) AS total_conversions,
+       {rounded(mean("roas"), 4)} AS avg_roas
+FROM mart WHERE report_date >= {AS_OF} - 20
+GROUP BY campaign_name, platform HAVING sum(conversions) > 0
+ORDER BY avg_roas DESC NULLS LAST, campaign_name, platform LIMIT 10""",
+    ),
+    "rollup_top_spend": with_(
+        MODELS,
+        f"""SELECT campaign_name, platform, {total("spend")} AS total_spend,
+       {mean("roas")} AS avg_roas
+FROM mart WHERE report_date >= {AS_OF} - 20 GROUP BY campaign_name, platform
+ORDER BY total_spend DESC NULLS LAST, campaign_name, platform LIMIT 10""",
+    ),
+    "rollup_platform_comparison": with_(
+        MODELS,
+        f"""{COMPARISON}, {rounded(mean("cpa"), 2)} AS cpa_moyen,
+       {rounded(mean("roas"), 4)} AS roas_moyen
+FROM mart WHERE report_date >= {AS_OF} - 7 GROUP BY platform""",
+    ),
+    "rollup_platform_comparison_raw": with_(
+        MODELS,
+        f"""{COMPARISON}, {mean("roas")} AS roas_moyen
+FROM mart WHERE report_date >= {AS_OF} - 7 GROUP BY platform""",
+    ),
+    "rollup_rolling_campaigns": with_(
+        MODELS,
+        """SELECT d.report_date AS as_of, m.platform, count(DISTINCT campaign_id) AS nb_campagnes
+FROM (SELECT DISTINCT report_date FROM mart) d
+JOIN mart m ON m.report_date BETWEEN d.report_date - 7 AND d.report_date GROUP BY ALL""",
     ),
     # quality
     "dq_not_null": with_(MODELS, statuses(not_null_counts())),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from adloom import schemas as S
 from adloom import sources
 from adloom.functions import conversion, days, kpis
-from adloom.operators import calendar, catalog, metadata, profile, quality, runlog, volume, writes
+from adloom.operators import buckets, calendar, catalog, metadata, profile, quality, rollup, runlog, volume, writes
 from adloom.operators.latest import (
     latest_raw,
     latest_unified,
@@ -272,6 +273,24 @@ def stream_newest(spark: SparkSession, sf: str) -> DataFrame:
     return newest.newest_rows(spark, target, S.RAW_META).drop("conversions")
 
 
+def restated_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two arrivals in a bucketed table, its late days replaced by their newest rows in place."""
+    table = private_layers(spark).raw_google
+    for part in _two_arrivals(spark, sf):
+        buckets.append_bucketed(part, table, 8)
+    buckets.restate_bucketed(spark, table, AS_OF)
+    return scan_as(spark, table, S.RAW_GOOGLE)
+
+
+def missing_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps of the campaigns as intervals."""
+    return calendar.missing_runs(adapters.raw_meta(spark, sf), *ALL_DAYS)
+
+
+def missing_days_unrolled(spark: SparkSession, sf: str) -> DataFrame:
+    return calendar.unrolled(missing_runs(spark, sf))
+
+
 # Models
 
 
@@ -350,6 +369,50 @@ def ledger_volumes(spark: SparkSession, sf: str) -> DataFrame:
     return volume.ledger_history(ledger, *ALL_DAYS)
 
 
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    folder = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return scan(rows.sparkSession, folder, rows.schema)
+
+
+def platform_states(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Stored states and bitmaps of each day and platform; campaigns are numbered in two rounds."""
+    rows = stored(the_mart(spark, sf), "rollup-mart")
+    first = stored(rollup.number_campaigns(rows.where(F.col("report_date") < RANGE[0])), "rollup-numbers")
+    numbers = stored(rollup.number_campaigns(rows, first), "rollup-numbers")
+    return stored(rollup.daily_states(rows), "rollup-states"), stored(rollup.daily_bitmaps(rows, numbers), "rollup-bitmaps")
+
+
+def comparison_by_rollup(rounded: bool) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        states, bitmaps = platform_states(spark, sf)
+        window = rollup.window_state(states, AS_OF, 7)
+        return rollup.platform_comparison(window, rollup.distinct_campaigns(bitmaps, AS_OF, 7), rounded)
+
+    return query
+
+
+def rolling_campaigns(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct campaigns of the eight days up to every day."""
+    return rollup.rolling_campaigns(platform_states(spark, sf)[1], 7)
+
+
+def campaigns_by_rollup(ranking: Callable[[DataFrame], DataFrame]) -> Query:
+    """The window three days before, moved on day by day."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        by = rollup.CAMPAIGN
+        states = stored(rollup.daily_states(the_mart(spark, sf), by), "rollup-campaigns")
+        days_before = [dt.date.fromisoformat(AS_OF) - dt.timedelta(n) for n in (3, 2, 1, 0)]
+        known = states.where(F.col("report_date") <= F.lit(days_before[0]))
+        window = rollup.window_state(known, days_before[0], 20, by)
+        for day in days_before[1:]:
+            window = stored(rollup.advance(window, states, day, 20, by), "rollup-window")
+        return ranking(window)
+
+    return query
+
+
 # Quality
 
 
@@ -665,6 +728,8 @@ QUERIES: dict[str, Query] = {
     "calendar_scaffold": calendar_scaffold,
     "missing_campaign_days": missing_campaign_days,
     "missing_from_dimension": missing_from_dimension,
+    "missing_runs": missing_runs,
+    "missing_days_unrolled": missing_days_unrolled,
     # raw zone
     "ingestion_metadata": ingestion_metadata,
     "raw_append": raw_append,
@@ -675,6 +740,7 @@ QUERIES: dict[str, Query] = {
     "dedup_meta": lambda spark, sf: latest(spark, sf)[1],
     "late_window": lambda spark, sf: late_window(adapters.raw_meta(spark, sf), AS_OF),
     "late_restatement": late_restatement,
+    "restated_bucketed": restated_bucketed,
     "ingestion_profile": ingestion_profile,
     "stream_ingest": stream_ingest,
     "stream_newest": stream_newest,
@@ -698,6 +764,11 @@ QUERIES: dict[str, Query] = {
     "efficiency_bands": over_mart(lambda m: analysis.efficiency_bands(m, AS_OF)),
     "top_spend": over_mart(lambda m: analysis.top_spend(m, AS_OF)),
     "platform_comparison_raw": over_mart(lambda m: analysis.platform_comparison_raw(m, AS_OF)),
+    "rollup_platform_comparison": comparison_by_rollup(True),
+    "rollup_platform_comparison_raw": comparison_by_rollup(False),
+    "rollup_rolling_campaigns": rolling_campaigns,
+    "rollup_top_roas": campaigns_by_rollup(rollup.top_roas),
+    "rollup_top_spend": campaigns_by_rollup(rollup.top_spend),
     # quality
     "dq_not_null": lambda spark, sf: quality.not_null_suite(model(spark, sf)),
     "dq_accepted_values": dq_accepted_values,
