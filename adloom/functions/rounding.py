@@ -5,25 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A scaled value this close to a tie, or this large, goes through decimal text.
-TIE_MARGIN = 1e-6
-LARGEST_SCALED = 1e9
-
-
-def round_half_up(value: Column, digits: int) -> Column:
-    """``F.round``, bit for bit, at a fraction of its cost per row.
-
-    ``F.round`` renders each double as decimal text, which only matters where
-    the value lies on or next to a tie. Everywhere else the nearest multiple is
-    found by arithmetic, and dividing it by a power of ten gives the same double.
-    """
-    scale = F.lit(float(10**digits))
-    scaled = value * scale
-    clear = F.abs(scaled - F.floor(scaled) - 0.5) > TIE_MARGIN
-    return F.when(
-        clear & (F.abs(scaled) < LARGEST_SCALED), F.floor(scaled + 0.5) / scale
-    ).otherwise(F.round(value, digits))
-
 
 def round_binary(value: Column, digits: int) -> Column:
     """The multiple of a power of ten that is nearest to the double itself, ties to even.

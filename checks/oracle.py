@@ -6,6 +6,8 @@ differently; money is added as decimals; integer sums are cast back to BIGINT.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from adloom import schemas as S
 from adloom.operators import quality
 
@@ -249,7 +251,7 @@ def suite(counts: str) -> str:
 FROM ({counts})"""
 
 
-def statuses(counts: list[str]) -> str:
+def statuses(counts: Iterable[str]) -> str:
     return f"""SELECT *, CASE WHEN violations > 0 THEN 'FAIL' ELSE 'PASS' END AS status
 FROM ({" UNION ALL ".join(counts)})"""
 
@@ -412,6 +414,23 @@ spoilt AS (
 )"""
 
 
+SPOILT_RAW = f"""{RAW},
+google AS (SELECT * REPLACE (
+  CASE WHEN impressions % 17 <> 0 THEN date END AS date,
+  CASE WHEN impressions % 7 <> 0 THEN campaign_id END AS campaign_id,
+  CASE WHEN clicks % 5 <> 0 THEN conversions END AS conversions,
+  CASE WHEN clicks % 3 <> 0 THEN cost_usd END AS cost_usd) FROM raw_google),
+meta AS (SELECT * REPLACE (
+  CASE WHEN page_engagement % 19 <> 0 THEN date END AS date,
+  CASE WHEN likes % 2 <> 0 THEN campaign_id END AS campaign_id,
+  CASE WHEN clicks % 3 <> 0 THEN impressions END AS impressions,
+  CASE WHEN shares % 2 <> 0 THEN spend_usd END AS spend_usd) FROM raw_meta),
+{models("google", "meta").replace("unified AS (", "whole AS (", 1).replace("FROM unified", "FROM whole")},
+unified AS (SELECT * REPLACE (
+  CASE WHEN clicks % 6 <> 0 THEN platform END AS platform,
+  CASE WHEN clicks % 10 <> 0 THEN campaign_id END AS campaign_id) FROM whole)"""
+
+
 #: (table, least, most, allowed change in percent): broken low, high, by change, by both, and not.
 BROKEN_LIMITS = (
     (S.RAW_GOOGLE_TABLE, 1_000_000_000, 2_000_000_000, 100_000),
@@ -772,6 +791,13 @@ FROM (
     ),
     # broken rules
     "dq_spoilt_suite": with_(SPOILT, spoilt_suite()),
+    "dq_spoilt_not_null": with_(SPOILT_RAW, statuses(c for c in not_null_counts() if "mart" not in c)),
+    "dq_stale_recency": with_(
+        MODELS,
+        f"""SELECT n AS days_ago, max(report_date) AS newest_report_date,
+  CASE WHEN max(report_date) >= {AS_OF} - 7 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (VALUES (8), (7), (400)) AS v(n) LEFT JOIN mart ON report_date <= {AS_OF} - n GROUP BY n""",
+    ),
     "dq_spoilt_kpis": with_(
         SPOILT, all_violations("kpi_calculations", "").replace("FROM mart", "FROM spoilt")
     ),
@@ -827,9 +853,12 @@ UNION ALL SELECT 'error', table_name, NULL, errors, '' FROM volume WHERE errors
     "catalog_inventory": with_(
         RAW_GOOGLE,
         f"""SELECT '{S.RAW_GOOGLE_TABLE}' AS table_name, count(*) AS row_count,
-  false AS is_empty, true AS has_size FROM raw_google
+  false AS is_empty, true AS size_agrees FROM raw_google
 UNION ALL SELECT '{S.RAW_META_TABLE}', 0, true, true""",
     ),
+    "inventory_by_day": with_(
+        REFRESHED, "SELECT report_date AS day, count(*) AS row_count, true AS has_files FROM mart GROUP BY 1"
+    ),
     # run log and catalog
     "run_summary": with_(
         f"{MODELS},{TALLY},{VOLUME}",

@@ -482,6 +482,54 @@ def spoilt_mart(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def spoilt_model(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Every model over raw rows of which some lack keys and metrics; the unified rows lose theirs again."""
+    every = lambda n, column: F.col(column) % n == 0
+    google, meta = raw(spark, sf)
+    google = google.withColumns(
+        {
+            "date": F.when(~every(17, "impressions"), F.col("date")),
+            "campaign_id": F.when(~every(7, "impressions"), F.col("campaign_id")),
+            "conversions": F.when(~every(5, "clicks"), F.col("conversions")),
+            "cost_usd": F.when(~every(3, "clicks"), F.col("cost_usd")),
+        }
+    )
+    meta = meta.withColumns(
+        {
+            "date": F.when(~every(19, "page_engagement"), F.col("date")),
+            "campaign_id": F.when(~every(2, "likes"), F.col("campaign_id")),
+            "impressions": F.when(~every(3, "clicks"), F.col("impressions")),
+            "spend_usd": F.when(~every(2, "shares"), F.col("spend_usd")),
+        }
+    )
+    stg_google, stg_meta = staging.stage_google(google), staging.stage_meta(meta)
+    union = unified.unify(stg_google, stg_meta).withColumns(
+        {
+            "platform": F.when(~every(6, "clicks"), F.col("platform")),
+            "campaign_id": F.when(~every(10, "clicks"), F.col("campaign_id")),
+        }
+    )
+    return {
+        S.RAW_GOOGLE_TABLE: google, S.RAW_META_TABLE: meta, S.STG_GOOGLE_TABLE: stg_google,
+        S.STG_META_TABLE: stg_meta, S.UNIFIED_TABLE: union,
+    }
+
+
+def dq_spoilt_not_null(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.not_null_suite(spoilt_model(spark, sf))
+
+
+def dq_stale_recency(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart as it was eight days before the last, and as it was seven days before."""
+    rows = the_mart(spark, sf)
+
+    def as_it_was(days_ago: int) -> DataFrame:
+        known = rows.where(F.col("report_date") <= F.date_sub(F.lit(AS_OF).cast("date"), days_ago))
+        return quality.recency(known, AS_OF).withColumn("days_ago", F.lit(days_ago))
+
+    return as_it_was(8).unionByName(as_it_was(7)).unionByName(as_it_was(400))
+
+
 def dq_spoilt_suite(spark: SparkSession, sf: str) -> DataFrame:
     return quality.run_suite({S.MART_TABLE: spoilt_mart(spark, sf)})
 
@@ -603,15 +651,32 @@ def stream_and_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Catalog tables with rows, size and flag; the time of creation is left out."""
+    """Catalog tables with rows and flag, in order; their sizes are those of the files rows come from."""
     layers = private_layers(spark)
     google, meta = raw(spark, sf)
     writes.append_raw(google, layers.raw_google)
     writes.append_raw(meta.where("false"), layers.raw_meta)
     found = catalog.table_inventory(spark, layers.schemas["raw"])
-    return found.select(
-        "table_name", "row_count", "is_empty", (F.col("size_mb") >= 0).alias("has_size")
+    of_rows = reduce(
+        DataFrame.unionByName,
+        (
+            catalog.file_inventory(name, spark.table(table))
+            for name, table in ((S.RAW_GOOGLE_TABLE, layers.raw_google), (S.RAW_META_TABLE, layers.raw_meta))
+        ),
+    ).select("table_name", F.col("size_mb").alias("mb_of_rows"))
+    # An empty table has files without rows.
+    agrees = (F.col("size_mb") == F.col("mb_of_rows")) | (F.col("is_empty") & (F.col("size_mb") < 0.1))
+    return found.join(of_rows, "table_name").select("table_name", "row_count", "is_empty", agrees.alias("size_agrees"))
+
+
+def inventory_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a stored table by day from its ledger, beside its files."""
+    layers = ledger_layers(spark, sf)
+    found = catalog.inventory_by_day(
+        spark, catalog.location_of(spark, layers.mart), Ledger(spark, layers.ledger), S.MART_TABLE, "report_date"
     )
+    seen = (F.col("n_files") > 0) & (F.col("bytes") > 0) & F.col("modified_at").isNotNull()
+    return found.select("day", "row_count", seen.alias("has_files"))
 
 
 # Run log and catalog
@@ -795,6 +860,8 @@ QUERIES: dict[str, Query] = {
     "ledger_volumes": ledger_volumes,
     # broken rules
     "dq_spoilt_suite": dq_spoilt_suite,
+    "dq_spoilt_not_null": dq_spoilt_not_null,
+    "dq_stale_recency": dq_stale_recency,
     "dq_spoilt_kpis": over_spoilt(
         lambda m: quality.violations(m, quality.mart_test("kpi_calculations"))
     ),
@@ -811,6 +878,7 @@ QUERIES: dict[str, Query] = {
     "meta_array_files": meta_array_files,
     "stream_and_batch": stream_and_batch,
     "catalog_inventory": catalog_inventory,
+    "inventory_by_day": inventory_by_day,
     # run log and catalog
     "run_summary": run_summary,
     "recent_runs": recent_runs,

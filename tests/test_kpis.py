@@ -5,9 +5,6 @@ import pytest
 
 from adloom.functions import kpis
 from adloom.functions.aggregates import exact_avg, exact_sum, exact_total
-from adloom.functions.rounding import round_half_up
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 METRICS = "impressions long, clicks long, conversions long, spend double"
@@ -116,28 +113,3 @@ def test_decimal_spend_gives_the_same_kpis(frame):
     df = frame([(1000, 50, 8, Decimal("120.50"))], METRICS.replace("double", "decimal(18,2)"))
     assert tuple(df.select(*kpis.kpi_columns()).first()) == (0.05, 15.06, 0.0664, 2.41, 0.16)
     assert df.agg(exact_sum("spend")).first()[0] == 120.5
-
-
-@pytest.mark.parametrize("digits", [2, 4])
-def test_fast_rounding_is_round_bit_for_bit(spark, digits):
-    tied = spark.range(-200_000, 200_000).select((F.col("id") / 200_000.0).alias("x"))
-    quotients = spark.range(200_000).select(
-        ((F.col("id") * 7919 % 100_003) / (F.col("id") * 104_729 % 9973 + 1)).alias("x")
-    )
-    odd = spark.createDataFrame(
-        [(v,) for v in (0.0, -0.0, 1e-300, 1e15 + 0.5, 123456789.125, -2.5, 1e22, None)], "x double"
-    )
-    x = F.col("x")
-    for values in (tied, quotients, odd):
-        differing = values.where(~round_half_up(x, digits).eqNullSafe(F.round(x, digits)))
-        assert differing.count() == 0
-
-
-@given(st.floats(allow_nan=False, allow_infinity=False, min_value=-1e12, max_value=1e12))
-@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-def test_fast_rounding_of_any_number(spark, value):
-    x = F.lit(value)
-    row = spark.range(1).select(
-        *(f(x, d) for d in (2, 4) for f in (round_half_up, F.round))
-    ).first()
-    assert row[0] == row[1] and row[2] == row[3]

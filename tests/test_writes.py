@@ -1,10 +1,14 @@
 import datetime as dt
+import time
 import uuid
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from adloom import schemas as S
+from adloom.operators.ledger import Ledger, Watch
 from adloom.operators import catalog, runlog, writes
 from adloom.operators.latest import restate
 from adloom.plans import analysis, daily, mart
@@ -378,7 +382,35 @@ def test_inventory(spark, frame, folder):
     got = {r["table_name"]: r for r in catalog.table_inventory(spark, name).collect()}
     assert got["full"]["row_count"] == 2 and not got["full"]["is_empty"]
     assert got["empty"]["row_count"] == 0 and got["empty"]["is_empty"]
-    assert got["full"]["created_at"] is not None and got["full"]["size_mb"] >= 0
+    assert got["full"]["created_at"] is not None
+
+
+def test_inventory_has_the_sizes_of_the_file_system_newest_first(spark, frame, folder):
+    name = f"s_{uuid.uuid4().hex[:8]}"
+    catalog.create_namespaces(spark, {"raw": name}, folder("schemas"))
+    for table, rows in (("b", 60_000), ("a", 90_000), ("c", 10)):
+        made = spark.range(rows).select(F.date_add(F.lit(day(1)), (F.col("id") % 3).cast("int")).alias("date"), F.rand(1).alias("x"))
+        made.write.partitionBy("date").saveAsTable(f"{name}.{table}")
+        time.sleep(1.1)  # the catalog keeps whole seconds
+    found = catalog.table_inventory(spark, name).collect()
+    assert [r["table_name"] for r in found] == ["c", "a", "b"]
+    assert [r["created_at"] for r in found] == sorted((r["created_at"] for r in found), reverse=True)
+    for row in found:
+        at = Path(urlparse(catalog.location_of(spark, f"{name}.{row['table_name']}")).path)
+        assert row["size_mb"] == round(sum(f.stat().st_size for f in at.rglob("*.parquet")) / 1048576, 2)
+    assert found[1]["size_mb"] > found[2]["size_mb"] > 0.1
+
+
+def test_inventory_by_day(spark, frame, folder):
+    target, ledger = folder("raw"), Ledger(spark, folder("ledger"))
+    watch = Watch(ledger, {"raw": None})
+    writes.append_raw(raw(frame, (1, "a", 1, 1), (1, "b", 1, 1), (2, "a", 1, 1)), target, watch=watch)
+    writes.append_raw(raw(frame, (1, "c", 2, 1)), target, watch=watch)
+    found = {r["day"]: r for r in catalog.inventory_by_day(spark, target, ledger, "raw").collect()}
+    assert {d: r["row_count"] for d, r in found.items()} == {day(1): 3, day(2): 1}
+    for d, row in found.items():
+        files = list((Path(urlparse(target).path) / f"date={d}").glob("*.parquet"))
+        assert (row["n_files"], row["bytes"]) == (len(files), sum(f.stat().st_size for f in files))
 
 
 def test_fixed_shape_scan(spark, frame, target):
