@@ -547,6 +547,14 @@ EXCEPT SELECT campaign_id, date FROM raw_meta""",
         f"""SELECT {GOOGLE_RECORD}, {INGESTED_AT} AS ingested_at,
        'run_fixed' AS extract_run_id, 'google_ads' AS source FROM raw_google""",
     ),
+    "widened_batches": with_(
+        RAW_GOOGLE,
+        """SELECT CAST(date AS VARCHAR) AS date, campaign_id,
+  CASE WHEN extract_run_id = 'run_1' THEN clicks * 3000000000 ELSE clicks END AS clicks,
+  CASE WHEN extract_run_id = 'run_1' THEN cost_usd ELSE floor(cost_usd) END AS cost,
+  CASE extract_run_id WHEN 'run_0' THEN CAST(clicks AS VARCHAR) WHEN 'run_2' THEN 'n/a' END AS note,
+  CASE WHEN extract_run_id = 'run_2' THEN CAST(impressions AS INTEGER) END AS extra FROM raw_google""",
+    ),
     "raw_append": with_(RAW_GOOGLE, "SELECT * FROM raw_google"),
     "raw_backfill": with_(
         FLAT_META,
@@ -736,6 +744,16 @@ FROM mart""",
     ),
     "dq_suite": with_(MODELS, suite(suite_counts())),
     "dq_suite_by_table": with_(MODELS, suite(suite_counts())),
+    "digest_days": with_(
+        ALL_RUNS,
+        """SELECT report_date AS day, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, max(n) > 1 AS repeated
+FROM (SELECT report_date, campaign_id, platform, count(*) AS n FROM unified GROUP BY ALL) GROUP BY 1""",
+    ),
+    "digest_duplicates": with_(
+        ALL_RUNS,
+        """SELECT report_date, campaign_id, platform, count(*) AS n_records FROM unified
+GROUP BY report_date, campaign_id, platform HAVING count(*) > 1""",
+    ),
     "dq_tally": with_(f"{MODELS},{TALLY}", "SELECT * FROM tally"),
     # volume
     "ingestion_day_counts": with_(

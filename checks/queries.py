@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from adloom import schemas as S
 from adloom import sources
 from adloom.functions import conversion, days, kpis
-from adloom.operators import buckets, calendar, catalog, metadata, profile, quality, rollup, runlog, volume, writes
+from adloom.operators import buckets, calendar, catalog, digests, metadata, profile, quality, rollup, runlog, volume, writes
 from adloom.operators.latest import (
     latest_raw,
     latest_unified,
@@ -23,7 +23,7 @@ from adloom.operators.latest import (
 from adloom.operators.ledger import Ledger
 from adloom.plans import analysis, daily, mart, staging, suite, unified
 from adloom.session import configure, shared_folder
-from adloom.sources import adapters
+from adloom.sources import adapters, widening
 from adloom.sources.insights import flatten_insights
 from adloom.sources.tables import scan, scan_as
 from adloom.streaming import ingest, newest
@@ -440,6 +440,37 @@ def dq_suite_by_table(spark: SparkSession, sf: str) -> DataFrame:
     return quality.run_suite(model(spark, sf))
 
 
+def digest_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days by their recorded digests: whether some key of the unified rows of all runs repeats."""
+    recorded = stored(digests.day_digests(all_runs_unified(spark, sf)), "digests")
+    repeated = digests.repeated_days(recorded).withColumn("repeated", F.lit(True))
+    return recorded.join(repeated, "day", "left").select(
+        "day", "n_rows", "n_keys", F.coalesce("repeated", F.lit(False)).alias("repeated")
+    )
+
+
+def digest_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated keys, of which only days whose digests differ are grouped."""
+    rows = all_runs_unified(spark, sf)
+    recorded = stored(digests.day_digests(rows), "digests")
+    return digests.duplicates_of_days(rows, digests.repeated_days(recorded))
+
+
+def widened_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches of texts whose columns and types differ, in one table."""
+    google, folder = adapters.raw_google(spark, sf), shared_folder(spark, "widened")
+    whole = F.floor("cost_usd").alias("cost")
+    batches = {
+        "run_0": [F.col("clicks"), whole, F.col("clicks").alias("note")],
+        "run_1": [(F.col("clicks") * 3_000_000_000).alias("clicks"), F.col("cost_usd").alias("cost")],
+        "run_2": [F.col("clicks"), whole, F.lit("n/a").alias("note"), F.col("impressions").alias("extra")],
+    }
+    for run, columns in batches.items():
+        part = google.where(F.col("extract_run_id") == run).select("date", "campaign_id", *columns)
+        widening.append_widening(part.select(*(F.col(c).cast("string").alias(c) for c in part.columns)), folder)
+    return widening.read_widened(spark, folder)
+
+
 # Volume
 
 
@@ -798,6 +829,7 @@ QUERIES: dict[str, Query] = {
     # raw zone
     "ingestion_metadata": ingestion_metadata,
     "raw_append": raw_append,
+    "widened_batches": widened_batches,
     "raw_backfill": raw_backfill,
     "raw_replace_days": raw_replace_days,
     "raw_rewrite": raw_rewrite,
@@ -848,6 +880,8 @@ QUERIES: dict[str, Query] = {
     "dq_recency": over_mart(lambda m: quality.recency(m, AS_OF)),
     "dq_suite": dq_suite,
     "dq_suite_by_table": dq_suite_by_table,
+    "digest_days": digest_days,
+    "digest_duplicates": digest_duplicates,
     "dq_tally": lambda spark, sf: quality.tally(dq_suite(spark, sf)),
     # volume
     "ingestion_day_counts": ingestion_day_counts,

@@ -1,0 +1,96 @@
+import datetime as dt
+import random
+
+import pytest
+from adloom.operators import digests
+from adloom.operators.quality import duplicate_grain
+from adloom.sources import widening as w
+from conftest import values
+from pyspark.sql import functions as F
+
+GRAIN = "report_date date, campaign_id string, platform string, clicks long"
+
+
+def day(n):
+    return n and dt.date(2024, 1, n)
+
+
+@pytest.fixture()
+def rows(frame):
+    chosen = random.Random(2)
+    every = [(day(d), f"c{c}", p, 1) for d in range(1, 9) for c in range(20) for p in ("g", "m")]
+    every += [(None, "x", "g", 1), (day(9), None, "g", 1)]
+    twice = [(day(3), "c1", "g", 2), (day(3), "c1", "g", 3), (day(5), "c2", "m", 2), (None, "x", "g", 1)]
+    chosen.shuffle(every)
+    return frame(every + twice, GRAIN).repartition(6), twice
+
+
+def test_days_with_repeats_from_their_records(spark, rows, folder):
+    rows, _ = rows
+    at = folder("digests")
+    digests.day_digests(rows).write.parquet(at)
+    recorded = spark.read.parquet(at)
+    assert values(digests.repeated_days(recorded)) == [(None,), (day(3),), (day(5),)]
+    found = digests.duplicates_of_days(rows, digests.repeated_days(recorded))
+    assert values(found) == values(duplicate_grain(rows))
+    assert "report_date" in found.columns and found.count() == 3
+    # Keys that occur an even number of times cancel in one part of the digest, not in the sum.
+    assert recorded.where("n_rows <> n_keys").count() == 3
+
+
+def test_stored_rows_against_their_records(spark, rows):
+    rows, twice = rows
+    recorded = digests.day_digests(rows)
+    assert digests.changed_days(recorded, rows).count() == 0
+    assert values(digests.row_digests(rows), "day", "n_rows") == values(recorded, "day", "n_rows")
+    lost = rows.where("not (report_date = date'2024-01-02' and campaign_id = 'c7' and platform = 'g')")
+    assert values(digests.changed_days(recorded, lost)) == [(day(2),)]
+    assert values(digests.changed_days(recorded, rows.where("report_date <> date'2024-01-04' or report_date is null"))) == [(day(4),)]
+    plan = digests.row_digests(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
+def test_the_last_record_of_a_day_counts(frame):
+    records = frame([(day(1), 1, "2024-01-01"), (day(1), 2, "2024-01-02"), (None, 3, "2024-01-01")], "day date, n_rows long, recorded_at string")
+    assert values(digests.latest_digests(records)) == sorted([(day(1), 2), (None, 3)], key=str)
+
+
+@pytest.mark.parametrize(
+    "texts, kind",
+    [
+        ([None], "void"), (["1", "-2", None], "int"), (["+7", "007"], "int"), (["2147483647"], "int"),
+        (["2147483648"], "bigint"), (["-9223372036854775808", "1"], "bigint"), (["9223372036854775808"], "string"),
+        (["1", "2.5"], "double"), (["1e3", ".5", "-2."], "double"), (["2.5", "9007199254740993"], "string"),
+        (["1", ""], "string"), (["1", " 2"], "string"), (["NaN"], "string"), (["0x1"], "string"), (["2024-01-01"], "string"),
+    ],
+)
+def test_the_least_type_that_holds_all_values(frame, texts, kind):
+    assert w.batch_types(frame([(t,) for t in texts], "a string").repartition(3)) == {"a": kind}
+
+
+def test_types_only_rise_whatever_the_order(frame):
+    kinds = [w.batch_types(frame([(t,)], "a string")) for t in ("1", "3000000000", "x", "2.5")]
+    for order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 0, 2)):
+        types = {}
+        for i in order:
+            types = w.widened(types, kinds[i])
+        assert types == {"a": "string"}
+    assert w.widened({"a": "int"}, {"a": "double", "b": "void"}) == {"a": "double", "b": "void"}
+    assert w.widened({"a": "bigint"}, {"a": "double"}) == w.widened({"a": "double"}, {"a": "bigint"}) == {"a": "string"}
+
+
+def test_batches_that_differ_in_types_load(spark, frame, folder):
+    target = folder("widening")
+    w.append_widening(frame([("1", "a"), ("2", None)], "id string, name string"), target)
+    w.append_widening(frame([("3", "b")], "id string, name string"), target)
+    assert len(w.versions(spark, target)) == 1
+    w.append_widening(frame([("4.5", "1")], "id string, spent string"), target)
+    w.append_widening(frame([(None, "9000000000")], "id string, spent string"), target)
+    got = w.read_widened(spark, target)
+    assert got.dtypes == [("id", "double"), ("name", "string"), ("spent", "bigint")]
+    assert values(got) == sorted([(1.0, "a", None), (2.0, None, None), (3.0, "b", None), (4.5, None, 1), (None, None, 9000000000)], key=str)
+    w.append_widening(frame([("x",)], "id string"), target)
+    got = w.read_widened(spark, target)
+    assert dict(got.dtypes)["id"] == "string" and got.where("id = 'x'").count() == 1
+    assert got.where(F.col("id").isNull()).count() == 1
+    assert len(w.versions(spark, target)) == 4
