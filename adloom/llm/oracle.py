@@ -2,6 +2,7 @@
 
 from . import mixing as m
 from . import quality_rules as q
+from . import web_archive as w
 
 _boilerplate = " OR ".join(f"contains(lower(line), '{p}')" for p in q.BOILERPLATE)
 
@@ -51,17 +52,44 @@ SELECT doc_id, n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines,
 FROM m
 """
 
-OP3 = """
+_id = """'<urn:uuid:' || regexp_replace(md5(concat_ws('|', coalesce({page}::VARCHAR, 'null'), sha256(t), {number})),
+    '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') || '>'"""
+
+
+def _header(name: str, value: str) -> str:
+    return f"coalesce('{name}: ' || {value} || e, '')"
+
+
+OP3 = f"""
 WITH p AS (
-  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS digest,
-    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
+  SELECT page_id, url, coalesce(html, '') AS t, chr(13) || chr(10) AS e,
+    strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS digest,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder,
+    row_number() OVER (PARTITION BY page_id, coalesce(html, '') ORDER BY url) AS number
   FROM pages
+), r AS (
+  SELECT *, n >= 1000 AND page_id <> holder AS revisit,
+    replace('{w.HTTP_HEAD}', chr(13) || chr(10), e) || n || e || e AS head
+  FROM p
 )
 SELECT page_id, n AS payload_bytes, digest AS payload_digest,
-  CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to,
-  true AS digest_agrees
-FROM p
+  CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN revisit THEN holder END AS refers_to,
+  true AS digest_agrees,
+  sha256('WARC/1.1' || e
+    || {_header("WARC-Type", "CASE WHEN revisit THEN 'revisit' ELSE 'response' END")}
+    || {_header("WARC-Record-ID", _id.format(page="page_id", number="number"))}
+    || {_header("WARC-Date", f"'{w.DATE}'")}
+    || {_header("WARC-Target-URI", "regexp_replace(url, '[' || e || ']+', '%0A', 'g')")}
+    || {_header("WARC-Payload-Digest", "'sha1:' || digest")}
+    || {_header("WARC-Refers-To", f"CASE WHEN revisit THEN {_id.format(page='holder', number='1')} END")}
+    || {_header("WARC-Profile", f"CASE WHEN revisit THEN '{w.PROFILE}' END")}
+    || {_header(w.PAGE, "page_id")}
+    || {_header(w.REFERS_TO_PAGE, "CASE WHEN revisit THEN holder END")}
+    || {_header("Content-Type", "CASE WHEN NOT revisit THEN 'application/http; msgtype=response' END")}
+    || {_header("Content-Length", "CASE WHEN revisit THEN 0 ELSE n + length(head) END")}
+    || e || CASE WHEN revisit THEN '' ELSE head || t END || e || e) AS record_sha256
+FROM r
 """
 
 OP6 = rf"""

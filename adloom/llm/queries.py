@@ -54,6 +54,7 @@ def op3_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         "refers_to",
         (F.sha1("payload") == F.col("digest")).alias("digest_agrees"),
+        F.sha2("record", 256).alias("record_sha256"),
     )
 
 

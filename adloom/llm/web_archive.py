@@ -9,6 +9,11 @@ Of records with equal payloads of at least ``LEAST_REVISIT`` bytes the one with
 is the response and the others revisit it; smaller payloads are responses all. A revisit record holds
 no payload, but its page's payload is found through its digest like any other.
 
+A response record is an HTTP message: a short head, then the payload. Every record has the archive's date,
+a parameter, and an id of its own: a digest of page, payload and its number among rows that agree
+in both. Header lines can't hold line breaks, so there a url's are written as %0A; the exact url is
+kept in a column beside the header. Very long texts are payloads like any other.
+
 A null html is an empty payload. A null page_id is below every other; among equal page_ids with equal
 payloads (repeated rows) each one of the largest is a response. Null urls leave their header out. Empty
 tables give empty archives. Other columns are passed over.
@@ -21,21 +26,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import staged
 
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-ID = "urn:page:"
+#: The page of a record, and of the record it refers to, in fields of our own.
+PAGE, REFERS_TO_PAGE = "Page-ID", "Refers-To-Page-ID"
+DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
+HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=UTF-8{CRLF}Content-Length: "
 
 
 @dataclass(frozen=True)
 class Archive:
     payloads: DataFrame  # sha256, payload
-    headers: DataFrame  # sha256, header
+    headers: DataFrame  # sha256, header, url
 
 
 def _line(name: str, value: Column | str) -> Column:
@@ -44,8 +52,16 @@ def _line(name: str, value: Column | str) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)), F.lit(""))
 
 
-def _name(page: Column) -> Column:
-    return F.concat(F.lit(f"<{ID}"), F.coalesce(page.cast("string"), F.lit("")), F.lit(">"))
+def _record_id(page: Column, number: Column) -> Column:
+    """The record id, in the form of a UUID, of the so-manieth row of a page with a payload."""
+    told = F.concat_ws("|", F.coalesce(page.cast("string"), F.lit("null")), F.lower(F.hex("sha256")), number.cast("string"))
+    digits = F.md5(told.cast("binary"))
+    parts = [F.substring(digits, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
+
+
+def _http_head(n_bytes: Column) -> Column:
+    return F.concat(F.lit(HTTP_HEAD), n_bytes.cast("string"), F.lit(CRLF * 2))
 
 
 def keyed(pages: DataFrame) -> DataFrame:
@@ -77,25 +93,30 @@ def stored_payloads(pages: DataFrame) -> DataFrame:
     )
 
 
-def _headers(pages: DataFrame, payloads: DataFrame) -> DataFrame:
+def _headers(pages: DataFrame, payloads: DataFrame, date: str) -> DataFrame:
     shared = payloads.where(
         (F.col("n_records") > 1) & (F.octet_length("payload") >= LEAST_REVISIT)
     ).select("sha256", "holder")
     revisits = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
-    rows = keyed(pages).drop("payload").join(shared, "sha256", "left")
+    number = F.row_number().over(Window.partitionBy("page_id", "sha256").orderBy("url"))
+    rows = keyed(pages).drop("payload").withColumn("number", number).join(shared, "sha256", "left")
+    size = F.length(_http_head(F.col("n_bytes"))) + F.col("n_bytes")
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         _line("WARC-Type", F.when(revisits, "revisit").otherwise("response")),
-        _line("WARC-Record-ID", _name(F.col("page_id"))),
+        _line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("number"))),
+        _line("WARC-Date", date),
         _line("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]+", "%0A")),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
-        _line("WARC-Refers-To", F.when(revisits, _name(F.col("holder")))),
+        _line("WARC-Refers-To", F.when(revisits, _record_id(F.col("holder"), F.lit(1)))),
         _line("WARC-Profile", F.when(revisits, PROFILE)),
-        _line("Content-Type", F.when(~revisits, "text/html; charset=UTF-8")),
-        _line("Content-Length", F.when(revisits, F.lit(0)).otherwise(F.col("n_bytes")).cast("string")),
+        _line(PAGE, F.col("page_id").cast("string")),
+        _line(REFERS_TO_PAGE, F.when(revisits, F.col("holder").cast("string"))),
+        _line("Content-Type", F.when(~revisits, "application/http; msgtype=response")),
+        _line("Content-Length", F.when(revisits, F.lit(0)).otherwise(size).cast("string")),
         F.lit(CRLF),
     )
-    return rows.select("sha256", header.alias("header"))
+    return rows.select("sha256", header.alias("header"), "url")
 
 
 def _verified(payloads: DataFrame) -> DataFrame:
@@ -106,17 +127,17 @@ def _verified(payloads: DataFrame) -> DataFrame:
     )
 
 
-def archived(pages: DataFrame) -> Archive:
-    """Write the archive to the shared folder and open it for reading."""
+def archived(pages: DataFrame, date: str = DATE) -> Archive:
+    """Write the archive to the shared folder and open it for reading; ``date`` is that of its records."""
     payloads = staged(stored_payloads(pages), "payloads")
-    headers = staged(_headers(pages, payloads), "headers")
+    headers = staged(_headers(pages, payloads, date), "headers")
     return Archive(_verified(payloads), headers)
 
 
 def open_archive(spark: SparkSession, payload_folder: str, header_folder: str) -> Archive:
     """An archive whose two tables were written to folders of their own."""
     payloads = spark.read.schema("sha256 binary, payload binary").parquet(payload_folder)
-    headers = spark.read.schema("sha256 binary, header string").parquet(header_folder)
+    headers = spark.read.schema("sha256 binary, header string, url string").parquet(header_folder)
     return Archive(_verified(payloads), headers)
 
 
@@ -127,19 +148,19 @@ def field(name: str) -> Column:
 
 
 def records(archive: Archive) -> DataFrame:
-    """page_id, record_type, refers_to, digest, record (the bytes as in a WARC file) and payload (of
-    the page, also where the record itself is a revisit).
+    """page_id, url, record_type, refers_to, digest, record_id, record (the bytes as in a WARC file) and
+    payload (of the page, also where the record itself is a revisit).
     """
-    page = lambda name: F.regexp_extract(field(name), rf"<{ID}(.*)>", 1)
-    number = lambda name: F.when(page(name) != "", page(name).cast("long"))
-    body = F.when(field("WARC-Type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    head = F.encode(_http_head(F.octet_length("payload")), "UTF-8")
+    body = F.when(field("WARC-Type") == "response", F.concat(head, F.col("payload"))).otherwise(F.lit(b""))
     end = F.encode(F.lit(CRLF * 2), "UTF-8")
     return archive.headers.join(archive.payloads, "sha256").select(
-        number("WARC-Record-ID").alias("page_id"),
-        field("WARC-Target-URI").alias("url"),
+        field(PAGE).cast("long").alias("page_id"),
+        "url",
         field("WARC-Type").alias("record_type"),
-        number("WARC-Refers-To").alias("refers_to"),
+        field(REFERS_TO_PAGE).cast("long").alias("refers_to"),
         F.substring(field("WARC-Payload-Digest"), 6, 40).alias("digest"),
+        field("WARC-Record-ID").alias("record_id"),
         F.concat(F.encode("header", "UTF-8"), body, end).alias("record"),
         "payload",
     )

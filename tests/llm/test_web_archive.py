@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ def test_round_trip_of_odd_rows(spark):
     archive = w.archived(pages)
     assert archive.payloads.count() == len({h or "" for *_, h in rows})
     found = w.records(archive).collect()
+    names = {r.record_id for r in found}
     key = lambda r: (str(r[0]), r[1])
     assert sorted(((r.page_id, bytes(r.payload)) for r in found), key=key) == sorted(
         ((p, (h or "").encode()) for p, _, h in rows), key=key
@@ -28,7 +30,16 @@ def test_round_trip_of_odd_rows(spark):
         head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
         assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and rest.endswith(b"\r\n\r\n")
         size = int(head.rpartition(b"Content-Length: ")[2])
-        assert rest[:-4] == (b"" if revisit else bytes(r.payload)) and size == len(rest) - 4
+        block = rest[:-4]
+        http, _, body = block.partition(b"\r\n\r\n")
+        assert size == len(block) and b"WARC-Date: 2024-01-01T00:00:00Z\r\n" in head
+        assert block == b"" if revisit else body == bytes(r.payload) and http.startswith(b"HTTP/1.1 200 OK")
+        assert f"WARC-Record-ID: {r.record_id}".encode() in head
+        refers = re.findall(rb"WARC-Refers-To: ([^\r]*)", head)
+        assert bool(refers) == revisit and all(x.decode() in names for x in refers)
+    assert len(names) == len(found)
+    # Urls come back as they were, line breaks and all.
+    assert sorted((str(r.page_id), r.url) for r in found if r.url) == sorted((str(p), u) for p, u, _ in rows if u)
     assert w.records(w.archived(pages.limit(0))).count() == 0
 
 
