@@ -6,6 +6,8 @@ from . import web_archive as w
 
 _boilerplate = " OR ".join(f"contains(lower(line), '{p}')" for p in q.BOILERPLATE)
 
+_ends = q.ENDS.replace("'", "''")
+
 OP7 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
@@ -23,12 +25,23 @@ WITH d AS (
   SELECT k, sum(least(8, coalesce(following - i, 8)))::BIGINT AS n
   FROM (SELECT k, i, lead(i) OVER (PARTITION BY k ORDER BY i) AS following FROM again)
   GROUP BY k
+), each_line AS (
+  SELECT k, line, i, length(line) <= 60 AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) BETWEEN 1 AND {q.ITEM_WORDS}
+      AND NOT regexp_matches(line, '{_ends}') AS short
+  FROM (SELECT k, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM w)
+), runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY k, short ORDER BY i) AS run FROM each_line
 ), judged AS (
   SELECT k, line,
-    len(regexp_extract_all(line, '[#*$%&<>!?]{{2}}')) + length(line) - length(replace(line, '|', ''))
+    short AND count(*) OVER (PARTITION BY k, short, run) >= {q.MENU}
+      OR len(regexp_extract_all(line, '{q.SEPARATOR}')) >= 2
+        AND length(line) - length(replace(line, ' ', '')) + 1 - len(regexp_extract_all(line, '{q.SEPARATOR}'))
+          <= (len(regexp_extract_all(line, '{q.SEPARATOR}')) + 1) * {q.ITEM_WORDS}
+        AND NOT regexp_matches(line, '{_ends}')
+      OR len(regexp_extract_all(line, '[#*$%&<>!?]{{2}}')) + length(line) - length(replace(line, '|', ''))
       > (length(line) - length(replace(line, ' ', '')) + 1) * {q.MAX_MARKS}
       OR {_boilerplate} AS fails
-  FROM (SELECT k, unnest(lines) AS line FROM w)
+  FROM runs
 ), line_sums AS (
   SELECT k, sum(length(line)) AS chars, coalesce(sum(length(line)) FILTER (NOT fails), 0) AS good,
     count(*) FILTER (fails) AS removed,

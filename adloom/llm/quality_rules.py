@@ -1,10 +1,14 @@
 """Quality rules, lines first: each line is judged by its punctuation, as navigation and as
 boilerplate; lines that fail are removed, and a document that loses too much of its text goes.
 
+A line fails as noise or a table if marks and bars are frequent among its words; as navigation if separators
+part it into short items without an end mark, or if it's one of ``MENU`` or more lines in a row of a few words
+and no end mark; as boilerplate if it has one of the phrases. A heading alone is no menu.
+
 Everything is a column expression over one row: no shuffle, no Python.
 
 Null and empty texts have no words, so they fail the base rule; so does any text under 20 words.
-Repeated rows are judged each for itself. An empty table gives an empty result. Columns other
+Very long texts are judged whole, repeated rows each for itself. An empty table gives an empty result. Columns other
 than the ones named are passed over by ``measure`` and kept as they are by ``clean``.
 """
 
@@ -28,6 +32,12 @@ MAX_MARKS = 0.25
 SYMBOLS = "[#*$%&|<>]"
 #: Runs of symbols and repeated end marks; bars, which separate menus and tables, count one by one.
 MARK = r"[#*$%&<>!?]{2}"
+#: Between the items of a menu in one line; such items have a few words each, the line no end mark.
+SEPARATOR = " [|>/·•»] "
+ITEM_WORDS = 3
+#: So many lines in a row, each of a few words and no end mark, are a menu with one item a line.
+MENU = 5
+ENDS = r"[.!?…:;,][\x20\x09-\x0D\x22')\]]*\z"
 BOILERPLATE = (
     "all rights reserved", "terms of use", "terms of service", "privacy policy",
     "cookie policy", "uses cookies", "use cookies", "enable javascript", "lorem ipsum",
@@ -54,8 +64,20 @@ def line_fails(line: Column, lower: Column) -> Column:
     """Whether a line, also given in lower case, is noise, navigation or boilerplate."""
     count = lambda c: F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
     marks = F.regexp_count(line, F.lit(MARK)) + count("|")
-    marked = marks > (count(" ") + 1) * MAX_MARKS
-    return reduce(lambda a, phrase: a | lower.contains(phrase), BOILERPLATE, marked)
+    words, parts = count(" ") + 1, F.regexp_count(line, F.lit(SEPARATOR))
+    marked = marks > words * MAX_MARKS
+    menu = (parts >= 2) & (words - parts <= (parts + 1) * ITEM_WORDS) & ~line.rlike(ENDS)
+    return reduce(lambda a, phrase: a | lower.contains(phrase), BOILERPLATE, marked | menu)
+
+
+def _menu_marks(lines: str) -> Column:
+    """One character for each line: n where it's one of ``MENU`` or more short ones in a row."""
+    words = lambda line: F.regexp_count(line, F.lit(WORD))
+    short = lambda line: (F.length(line) <= 60) & words(line).between(1, ITEM_WORDS) & ~line.rlike(ENDS)
+    flags = F.array_join(F.transform(lines, lambda line: F.when(short(line), "s").otherwise("l")), "")
+    # A line is in such a run if, for some n, n short lines come before it and the others after it.
+    run = "|".join(f"(?<=s{{{n}}})s(?=s{{{MENU - 1 - n}}})" for n in range(MENU))
+    return F.regexp_replace(flags, run, "n")
 
 
 def _measured(documents: DataFrame, kept: list[str]) -> DataFrame:
@@ -84,9 +106,13 @@ def _measured(documents: DataFrame, kept: list[str]) -> DataFrame:
             F.filter("__lines", lambda line: line.rlike(WORD)).alias("__full"),
             F.array_compact(
                 F.zip_with(
-                    "__lines",
-                    F.split(F.lower(text), "\n"),
-                    lambda line, lower: F.when(~line_fails(line, lower), line),
+                    F.zip_with(
+                        "__lines",
+                        F.split(F.lower(text), "\n"),
+                        lambda line, lower: F.when(~line_fails(line, lower), line),
+                    ),
+                    F.split(_menu_marks("__lines"), ""),
+                    lambda line, mark: F.when(mark != "n", line),
                 )
             ).alias("__good"),
             F.transform("__words", lambda w: F.xxhash64(w)).alias("__h1"),

@@ -94,3 +94,23 @@ def test_schedule_is_even_everywhere(spark):
         for slot, got, _ in rows:
             seen += got == label
             assert abs(seen - share * (slot + 1)) < 4
+
+
+def test_menus_go_and_headings_stay(spark):
+    prose = "\n".join(" ".join(f"w{i}{j}" for j in range(9)) + "." for i in range(6))
+    texts = {
+        "one line": ("Home > Shop > Garden tools > Spades\nNews / Sport / Weather\nA · B · C\n" + prose, 3),
+        "one item a line": ("Home\nAbout us\nShop\nHelp\nNews today\nContact\n" + prose, 6),
+        "four short lines": ("Home\nAbout us\nShop\nHelp\n" + prose, 0),
+        "short sentences": ("Yes.\nNo!\nWhy?\nWell:\nFine.\nGood.\n" + prose, 0),
+        "a heading": ("The title\n\n" + prose + "\n\nNext\nA calm line ends here.", 0),
+        "slashes in prose": ("He wrote either / or in the long margin of every single page, and / or so it goes on and on\n" + prose, 0),
+        "blank lines part": ("a b\nc\n\nd\ne f\n\ng\n" + prose, 0),
+        "only a menu": ("\n".join(f"item {i}" for i in range(40)), 40),
+        "returns": ("Home\r\nShop\r\nHelp\r\nNews\r\nMore\r\n" + prose, 5),
+    }
+    rows = [(i, text) for i, (text, _) in enumerate(texts.values())]
+    got = {r.doc_id: r for r in quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {n: got[i].n_removed_lines for i, n in enumerate(texts)} == {n: gone for n, (_, gone) in texts.items()}
+    assert [n for i, n in enumerate(texts) if not got[i].kept] == ["only a menu"]
+    assert got[1].clean_text == prose
