@@ -212,11 +212,15 @@ def mix(
 
 
 def taken_of(pieces: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, size, source_size, target, taken."""
+    """One row for each document: doc_id, size, source_size, target, taken and first_slot, the first slot
+    of the mix that takes words of it (null: none, or only blocks after the last slot).
+    """
     known = ["doc_id", "source", "size", "source_size", "target", "start"]
-    columns = ["doc_id", "size", "source_size", "target", "taken"]
-    whole = pieces.where("n_words > 0").groupBy(*known).agg(F.sum("n_words").alias("taken"))
-    rest = pieces.where("n_words = 0").withColumn("taken", F.col("n_words"))
+    columns = ["doc_id", "size", "source_size", "target", "taken", "first_slot"]
+    whole = pieces.where("n_words > 0").groupBy(*known).agg(
+        F.sum("n_words").alias("taken"), F.min("slot").alias("first_slot")
+    )
+    rest = pieces.where("n_words = 0").withColumns({"taken": F.col("n_words"), "first_slot": F.col("slot")})
     return whole.select(*columns).union(rest.select(*columns))
 
 

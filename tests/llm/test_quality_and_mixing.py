@@ -114,3 +114,16 @@ def test_menus_go_and_headings_stay(spark):
     assert {n: got[i].n_removed_lines for i, n in enumerate(texts)} == {n: gone for n, (_, gone) in texts.items()}
     assert [n for i, n in enumerate(texts) if not got[i].kept] == ["only a menu"]
     assert got[1].clean_text == prose
+
+
+def test_the_schedule_decides_when_a_document_comes(spark, monkeypatch):
+    rows = [(i, "w " * (5 + i % 40), "en", "abc"[i % 3], 0) for i in range(200)]
+    frame = spark.createDataFrame(rows, DDL)
+    slots = {r.doc_id: r.first_slot for r in mixed(spark, frame, block_words=20)[1]}
+    assert len({s for s in slots.values() if s is not None}) > 50
+    # Every start of the mix is near its shares: of the first documents, too.
+    first = sorted((s, i) for i, s in slots.items() if s is not None)[:60]
+    shares = [sum(i % 3 == n for _, i in first) / 60 for n in range(3)]
+    assert shares == pytest.approx([5 / 8, 2 / 8, 1 / 8], abs=0.15)
+    monkeypatch.setattr(mixing, "GOLDEN", 1_000_003)
+    assert {r.doc_id: r.first_slot for r in mixed(spark, frame, block_words=20)[1]} != slots
