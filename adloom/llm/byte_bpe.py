@@ -10,7 +10,7 @@ whose bytes lie in several tokens comes back whole. Offsets go from bytes to cha
 that holds part of a character covers that character.
 
 A null or empty text has no ids and decodes to nothing; a null list of ids too. Repeated rows are
-encoded each for itself. Ids outside the vocabulary raise an error. Other columns are passed over
+encoded each for itself; there are no ties, as ranks differ. An empty table gives an empty result. Ids outside the vocabulary raise an error. Other columns are passed over
 unless named in ``kept``.
 """
 

@@ -15,7 +15,7 @@ each piece and language at most. Each task scores a distinct word once.
 A text that is null, empty or without a letter is ``und`` with score 0; so is any text if no
 training row has a language. Training rows with null text count only towards the shares of the
 languages. Ties go to the first language by code point. Repeated rows count and are scored each for
-itself; other columns are passed over.
+itself. An empty table to score gives an empty result. Other columns are passed over.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ with each one of its other bits flipped, and as it is: two that differ in at mos
 one of these forms, and any two that share one differ in at most two. Each form ties its members
 to the least of them: as many rows as fingerprints times 41, no pairs, and the same components.
 
-Null and empty texts have fingerprint nought and are linked like any other. Repeated rows have equal
+Very long texts are taken whole. Null and empty texts have fingerprint nought and are linked like any other. Repeated rows have equal
 fingerprints. A component's id is its least doc_id; null ids are passed over, and a component
 of none but null ids has a null id. An empty table gives an empty result.
 """

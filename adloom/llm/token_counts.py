@@ -6,8 +6,9 @@ the longest pieces have been taken off the front, and each link knows how many p
 is read once, each character at most twice, and no piece is ever built: greedy longest-match counts in
 linear time. A word that can't be covered counts as one unknown token, as word-piece models do.
 
-A null or empty text has no words and no tokens. Repeated rows are counted each for itself. Other
-columns are passed over.
+A null or empty text has no words and no tokens. Very long texts are counted whole. The
+longest piece always wins, and no two are of one length, so there are no ties. Repeated rows are counted each
+for itself. An empty table gives an empty result. Other columns are passed over.
 """
 
 from __future__ import annotations
