@@ -2,7 +2,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
-from adloom.llm import byte_bpe, personal_data, quality_rules
+from adloom.llm import byte_bpe, personal_data, quality_rules, simhash
 from adloom.llm.common import table
 from test_near_copies import brute_groups
 from pyspark.sql import functions as F
@@ -79,3 +79,14 @@ def test_stages_with_odd_rows_and_clashing_columns(spark):
         # Each stage takes the odd rows themselves, too.
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, frame, FOLDER).collect()
+
+
+def test_near_copies_by_fingerprint_go_too(spark):
+    """The stage keeps operator 8: texts with near fingerprints are copies, though their sets of shingles differ."""
+    often = "the same few words come again and again in this text " * 60
+    texts = [often + " ".join(f"{c}{i}" for i in range(12)) for c in "ab"] + ["another text of its own"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in simhash.components_of(docs).collect()} == {0, 2}
+    assert brute_groups(texts) == [0, 1, 2]
+    kept = dict(corpus_pipeline.STAGES)["simhash_near_copies"](spark, docs, FOLDER).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2]
